@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import sys
 import unicodedata
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -11,14 +14,16 @@ from pyspark.sql import types as T
 
 from skylane.functions import as_column
 
-_COMBINING_MARK = "Mn"
 
+@lru_cache(maxsize=1)
+def _marks() -> re.Pattern:
+    """All nonspacing marks as one character class; built once per Python worker."""
+    every = (chr(point) for point in range(0x300, sys.maxunicode + 1))
+    return re.compile("[" + "".join(ch for ch in every if unicodedata.category(ch) == "Mn") + "]+")
 
-def _without_marks(text: str | None) -> str | None:
-    if text is None or text.isascii():
-        return text
-    decomposed = unicodedata.normalize("NFD", text)
-    return "".join(ch for ch in decomposed if unicodedata.category(ch) != _COMBINING_MARK)
+
+def _without_marks(text: str) -> str:
+    return text if text.isascii() else _marks().sub("", unicodedata.normalize("NFD", text))
 
 
 @F.pandas_udf(T.StringType())

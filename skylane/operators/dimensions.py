@@ -161,3 +161,18 @@ def numbered(df: DataFrame, order: Sequence[str], name: str = "id", start: int =
     return placed.join(F.broadcast(first), "_part").select(
         (F.col("_first") + F.col("_pos")).alias(name), *df.columns
     )
+
+
+def rows_to_record(
+    df: DataFrame, keys: Sequence[str], name: str, value: str, names: Sequence[str], order: str
+) -> DataFrame:
+    """Name/value rows as one row per entity; the last value by ``order`` counts.
+
+    ``names`` is the record's schema, so the result's columns are known beforehand
+    and each task reduces its rows before the shuffle.
+    """
+    def last(wanted: str) -> Column:
+        matches = F.col(name) == F.lit(wanted)
+        return F.max_by(F.col(value), F.when(matches, F.col(order))).alias(wanted)
+
+    return df.groupBy(*keys).agg(*[last(n) for n in names])

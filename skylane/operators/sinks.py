@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from skylane.functions import records, timeparts
 
 MAX_RECORDS_PER_FILE = 2_000_000
+# JSON times keep microseconds; Spark's default would cut them to milliseconds.
+WIRE_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def to_messages(df: DataFrame, key: str | None = None) -> DataFrame:
@@ -45,6 +47,8 @@ def write_event_lake(
         .partitionBy(*levels)
         .option("compression", "gzip")
         .option("maxRecordsPerFile", max_records)
+        .option("timestampFormat", WIRE_TIME + "XXX")
+        .option("timestampNTZFormat", WIRE_TIME)
         .json(path)
     )
 

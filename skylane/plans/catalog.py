@@ -5,6 +5,9 @@ from __future__ import annotations
 from skylane.plans import (  # noqa: F401  registration happens on import
     catalog_clean,
     catalog_joins,
+    catalog_lake,
+    catalog_streams,
+    catalog_text,
 )
 from skylane.plans.registry import ORACLES, QUERIES, Query
 

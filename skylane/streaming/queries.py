@@ -134,9 +134,10 @@ def join_bucket_stream(
         )
     )
     rows = (
-        traffic.withColumn("_salt", spread_salt(traffic, salts))
-        .withWatermark("ts", delay)
-        .withColumn("_bucket", F.window("ts", bucket))
+        traffic.withColumns({"_salt": spread_salt(traffic, salts), "_time": F.col("ts")})
+        .withWatermark("_time", delay)
+        .withColumn("_bucket", F.window("_time", bucket))
+        .drop("_time")
     )
     same = (
         (F.col("_bucket") == F.col("w_bucket"))
