@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skylane.functions import as_column
-from skylane.functions.records import entries_to_map
 
 # Markup of a current-weather page.
 CARD_OPEN = '<div class="current-weather-card card-module content-module">'
+NEXT_MODULE = " content-module"
 ITEM_OPEN = '<div class="detail-item spaced-content">'
 TIME_PATTERN = r'(?s)<p class="sub">(.*?)</p>'
 PHRASE_PATTERN = r'(?s)<div class="phrase">(.*?)</div>'
@@ -78,9 +78,12 @@ def anchor_class(c) -> Column:
 
 
 def weather_card(c) -> Column:
-    """Page text from the start of the current-weather card; NULL without a card."""
-    c = as_column(c)
-    return F.when(F.contains(c, F.lit(CARD_OPEN)), F.substring_index(c, CARD_OPEN, -1))
+    """Page text of the current-weather card, NULL without a card.
+
+    The card starts at its opening tag and ends where the page's next module begins.
+    """
+    after = F.try_element_at(F.split(as_column(c), rf"\Q{CARD_OPEN}\E", 2), F.lit(2))
+    return F.split_part(after, F.lit(NEXT_MODULE), F.lit(1))
 
 
 def card_field(card, pattern: str) -> Column:
@@ -95,7 +98,7 @@ def card_items(card) -> Column:
     """
     pieces = F.split(as_column(card), rf"\Q{ITEM_OPEN}\E")
     lines = F.transform(
-        F.slice(pieces, F.lit(2), F.size(pieces)),
+        F.filter(pieces, lambda item, i: i > 0),
         lambda item: F.filter(F.split(without_tags(item), "\n"), lambda line: line != ""),
     )
     return F.transform(
@@ -104,15 +107,13 @@ def card_items(card) -> Column:
     )
 
 
-def weather_properties(c) -> Column:
-    """All readings of a weather page as one map; a repeated key keeps its last value."""
-    card = weather_card(c)
-    entries = F.concat(
-        F.array(
-            F.struct(F.lit("current_time").alias("key"), card_field(card, TIME_PATTERN).alias("value")),
-            F.struct(F.lit("status").alias("key"), card_field(card, PHRASE_PATTERN).alias("value")),
-            F.struct(F.lit("temp_c").alias("key"), card_field(card, TEMPERATURE_PATTERN).alias("value")),
-        ),
-        card_items(card),
-    )
-    return F.when(card.isNotNull(), entries_to_map(entries))
+def card_entries(card) -> Column:
+    """Every reading of a card as (key, value) entries, in page order."""
+    named = [
+        ("current_time", TIME_PATTERN), ("status", PHRASE_PATTERN), ("temp_c", TEMPERATURE_PATTERN),
+    ]
+    fixed = F.array(*[
+        F.struct(F.lit(key).alias("key"), card_field(card, pattern).alias("value"))
+        for key, pattern in named
+    ])
+    return F.concat(fixed, card_items(card))

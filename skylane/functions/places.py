@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import re
-import sys
 import unicodedata
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -15,15 +12,15 @@ from pyspark.sql import types as T
 from skylane.functions import as_column
 
 
-@lru_cache(maxsize=1)
-def _marks() -> re.Pattern:
-    """All nonspacing marks as one character class; built once per Python worker."""
-    every = (chr(point) for point in range(0x300, sys.maxunicode + 1))
-    return re.compile("[" + "".join(ch for ch in every if unicodedata.category(ch) == "Mn") + "]+")
-
-
 def _without_marks(text: str) -> str:
-    return text if text.isascii() else _marks().sub("", unicodedata.normalize("NFD", text))
+    """NFD without nonspacing marks; the category is looked up once per distinct character."""
+    if text.isascii():
+        return text
+    plain = unicodedata.normalize("NFD", text)
+    for character in set(plain):
+        if unicodedata.category(character) == "Mn":
+            plain = plain.replace(character, "")
+    return plain
 
 
 @F.pandas_udf(T.StringType())
@@ -40,7 +37,7 @@ def location_key(c, fold_unaccented: bool = True) -> Column:
     """
     hyphenated = F.replace(F.lower(as_column(c)), F.lit(" "), F.lit("-"))
     translated = F.replace(hyphenated, F.lit("quận"), F.lit("district"))
-    plain = F.translate(strip_marks(translated), "đĐ", "dD")
+    plain = F.replace(strip_marks(translated), F.lit("đ"), F.lit("d"))
     if not fold_unaccented:
         return plain
     return F.replace(plain, F.lit("quan"), F.lit("district"))

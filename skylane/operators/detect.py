@@ -71,7 +71,7 @@ def detect(
     return raw.select(*keys, "image_shape", objects.alias("objects")).select(
         *keys,
         "image_shape",
-        F.when(F.col("objects").isNotNull(), F.size("objects")).alias("total"),
+        F.array_size("objects").alias("total"),
         "objects",
     )
 

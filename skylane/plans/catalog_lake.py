@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from skylane import schemas, workspace
 from skylane.functions import markup, places, timeparts
 from skylane.operators import audit, dimensions, paging, serving, sinks
+from skylane.operators import pages as page_rows
 from skylane.operators.latest import latest_per_key
 from skylane.plans.catalog_clean import clean_weather, plain_types
 from skylane.plans.derive import WEATHER_CLEAN_SQL, table
@@ -365,4 +366,4 @@ def city_locations(spark, sf_dir):
     pages = table(spark, sf_dir, "customer").select(
         F.col("c_mktsegment").alias("city"), F.concat(F.lit("city/"), key).alias("url"), html.alias("html")
     )
-    return dimensions.weather_locations(pages, SITE)
+    return page_rows.weather_locations(pages, SITE)

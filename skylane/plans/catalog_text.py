@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skylane.functions import markup, places, records
-from skylane.operators import dimensions
+from skylane.operators import dimensions, pages
 from skylane.plans.catalog_clean import PROPS
 from skylane.plans.derive import table
 from skylane.plans.registry import query
@@ -39,11 +39,10 @@ _ANCHOR_HREF = _unescaped("regexp_extract(a, 'href=\"([^\"]*)\"', 1)")
 WITH {_ANCHORS}
 SELECT page_id, CAST(pos AS INTEGER) AS pos, {_ANCHOR_TEXT} AS text, {_ANCHOR_HREF} AS href FROM anchors""")
 def page_links(spark, sf_dir):
-    links = table(spark, sf_dir, "pages").select(
-        "page_id", F.posexplode(markup.anchors("html")).alias("pos", "a")
-    )
+    links = pages.links(table(spark, sf_dir, "pages").select("page_id", "html"))
     return links.select(
-        "page_id", "pos", markup.anchor_text("a").alias("text"), markup.anchor_href("a").alias("href")
+        "page_id", "pos", markup.anchor_text("anchor").alias("text"),
+        markup.anchor_href("anchor").alias("href"),
     )
 
 
@@ -57,13 +56,13 @@ def page_absolute_url(spark, sf_dir):
     site = F.regexp_extract("url", r"^(https?://[^/]+)", 1)
     number = F.col("page_id").cast("string")
     key = places.location_number(F.concat(F.lit("/redirect?key="), number, F.lit("&x=1")))
-    links = table(spark, sf_dir, "pages").select(
-        "page_id", site.alias("site"), key.alias("key"), F.explode(markup.anchors("html")).alias("a")
-    )
+    links = pages.links(table(spark, sf_dir, "pages").select(
+        "page_id", site.alias("site"), key.alias("key"), "html"
+    ))
     slug = F.concat(F.lit("page-"), F.col("key"))
     return links.select(
         "page_id",
-        F.concat("site", markup.anchor_href("a")).alias("link"),
+        F.concat("site", markup.anchor_href("anchor")).alias("link"),
         F.concat("site", places.current_weather_url("", slug, "key")).alias("canonical"),
     )
 
@@ -76,10 +75,10 @@ def anchor_filter(spark, sf_dir):
     marked = F.when(F.col("page_id") % 3 == 0, F.lit('<a class="search-result" href')).when(
         F.col("page_id") % 3 == 1, F.lit('<a class="search-result other" href')
     ).otherwise(F.lit("<a href"))
-    pages = table(spark, sf_dir, "pages").select(
+    marked_pages = table(spark, sf_dir, "pages").select(
         "page_id", F.replace(F.col("html"), F.lit("<a href"), marked).alias("html")
     )
-    return dimensions.child_links(pages)
+    return pages.child_links(marked_pages)
 
 
 @query("property_map", """
@@ -99,7 +98,7 @@ def property_map(spark, sf_dir):
     properties = table(spark, sf_dir, "events").select(
         "event_id", records.entries_to_map(entries).alias("properties")
     )
-    return properties.select("event_id", F.explode("properties").alias("key", "value"))
+    return properties.select("event_id", F.explode_outer("properties").alias("key", "value"))
 
 
 def _named(name: str, value):
@@ -187,7 +186,7 @@ def camera_feed_records(spark, sf_dir):
         F.concat(F.lit("{value:"), properties, F.lit(","), F.when(nation % 3 != 0, point).otherwise(F.lit("[]")),
                  F.lit("}")).alias("text"),
     )
-    return dimensions.camera_records(feed)
+    return pages.camera_records(feed)
 
 
 @query("weather_page_properties", """
@@ -218,8 +217,5 @@ def weather_page_properties(spark, sf_dir):
         *item("HUMIDITY", F.concat((e % 101).cast("string"), F.lit("%"))),
         F.lit("</div></body></html>"),
     )
-    pages = table(spark, sf_dir, "events").select("event_id", page.alias("html"))
-    properties = pages.select("event_id", markup.weather_properties("html").alias("properties"))
-    return properties.select("event_id", F.explode("properties").alias("key", "value")).select(
-        "event_id", "key", markup.unescape("value").alias("value")
-    )
+    html = table(spark, sf_dir, "events").select("event_id", page.alias("html"))
+    return pages.reading_rows(pages.weather_readings(html))

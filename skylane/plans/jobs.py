@@ -16,6 +16,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from skylane import schemas
 from skylane.functions import markup, timeparts
 from skylane.operators import clean, dimensions, enrich, sinks
+from skylane.operators import pages as page_rows
 from skylane.sources import lake
 from skylane.streaming import queries
 
@@ -101,7 +102,7 @@ def ingest_dim_cam(properties: DataFrame, mapping: DataFrame, tsv_path: str, tab
 
 def ingest_dim_weather(city_pages: DataFrame, site: str, tsv_path: str) -> None:
     """Weather locations from city pages, numbered from 0 in address order."""
-    locations = dimensions.weather_locations(city_pages, site)
+    locations = page_rows.weather_locations(city_pages, site)
     numbered = dimensions.numbered(locations, ["district_url", "city"])
     sinks.write_tsv(numbered.select(*schemas.WEATHER_LOCATION_COLUMNS), tsv_path)
 
@@ -125,10 +126,11 @@ def weather_messages(pages: DataFrame, published: "dt.datetime | None" = None) -
     Readings the event schema does not name are left out, missing ones are NULL.
     """
     at = F.current_timestamp() if published is None else F.lit(published)
-    parsed = pages.select("district", markup.weather_properties("html").alias("readings"))
+    with_card = pages.select("district", "html").filter(F.contains("html", F.lit(markup.CARD_OPEN)))
+    parsed = page_rows.weather_readings(with_card)
     names = [n for n in schemas.WEATHER_TEXT_FIELDS if n != "timestamp"]
-    return parsed.filter(F.col("readings").isNotNull()).select(
-        *[F.try_element_at("readings", F.lit(n)).alias(n) for n in names],
+    return parsed.select(
+        *[markup.unescape(F.try_element_at("readings", F.lit(n))).alias(n) for n in names],
         timeparts.iso_text(at).alias("timestamp"),
         "district",
     )
