@@ -59,9 +59,8 @@ def join_bucket(
 
 
 def last_reading(weather: DataFrame, keys: list[str]) -> DataFrame:
-    """Last reading per key; equal times are decided by the readings themselves."""
-    order = ["ts", *[c for c in weather.columns if c not in {*keys, "ts"}]]
+    """Last reading per key; a reading without a key can match nothing and is left out."""
     keyed = weather
     for key in keys:
         keyed = keyed.filter(F.col(key).isNotNull())
-    return latest_per_key(keyed, keys, order)
+    return latest_per_key(keyed, keys, ["ts"])

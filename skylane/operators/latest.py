@@ -2,38 +2,49 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skylane.schemas import holds_map
+
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The row with the greatest ``order`` values for every key.
+    """The row with the greatest ``order`` values for every key; NULL counts as smallest.
 
     An aggregate rather than a window: every task reduces its own rows to one per
     key before the shuffle, so a key that holds a third of the table costs one row
-    per task. ``order`` should end in a unique column to break ties.
+    per task. Equal ``order`` values are decided by the other columns, which gives
+    the same row on every run.
     """
-    return _pick(df, keys, order, F.max_by)
+    return _pick(df, keys, order, F.max, F.max_by)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the smallest ``order`` values for every key."""
-    return _pick(df, keys, order, F.min_by)
+    return _pick(df, keys, order, F.min, F.min_by)
+
+
+def _columns(names: Sequence[str]) -> list[Column]:
+    return [F.col(f"`{name}`") for name in names]
 
 
-def _pick(df: DataFrame, keys, order, choose) -> DataFrame:
-    keys, order = list(keys), list(order)
-    rest = [c for c in df.columns if c not in keys]
-    if not rest:
+def _pick(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    extreme: Callable[[Column], Column],
+    extreme_by: Callable[[Column, Column], Column],
+) -> DataFrame:
+    keys, order = list(keys), [c for c in order if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    if not order and not rest:
         return df.distinct()
-    picked = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
-        choose(
-            F.struct(*[F.col(f"`{c}`") for c in rest]),
-            F.struct(*[F.col(f"`{c}`") for c in order]),
-        ).alias("_row")
-    )
-    return picked.select(*[F.col(f"`{k}`") for k in keys], "_row.*").select(
-        *[F.col(f"`{c}`") for c in df.columns]
-    )
+    if any(holds_map(df.schema[c].dataType) for c in rest):
+        # Maps have no order, so they cannot take part in the comparison.
+        picked = extreme_by(F.struct(*_columns(order + rest)), F.struct(*_columns(order)))
+    else:
+        picked = extreme(F.struct(*_columns(order + rest)))
+    rows = df.groupBy(*_columns(keys)).agg(picked.alias("_row"))
+    return rows.select(*_columns(keys), "_row.*").select(*_columns(df.columns))

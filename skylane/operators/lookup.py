@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skylane.schemas import holds_map
+
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 SALTS = 32
 # A key is treated as frequent from this share of the rows on. The frequent-item
@@ -64,21 +66,11 @@ def spread_salt(df: DataFrame, salts: int) -> Column:
     one task reads.
     """
     hashed = [
-        F.col(f"`{f.name}`") for f in df.schema.fields if not _holds_map(f.dataType)
+        F.col(f"`{f.name}`") for f in df.schema.fields if not holds_map(f.dataType)
     ]
     return F.pmod(F.xxhash64(F.spark_partition_id(), *hashed), F.lit(salts)).cast("int")
 
 
-def _holds_map(kind: T.DataType) -> bool:
-    if isinstance(kind, (T.MapType, T.VariantType)):
-        return True
-    if isinstance(kind, T.ArrayType):
-        return _holds_map(kind.elementType)
-    if isinstance(kind, T.StructType):
-        return any(_holds_map(f.dataType) for f in kind.fields)
-    return False
-
-
 def salted_join(
     left: DataFrame,
     right: DataFrame,

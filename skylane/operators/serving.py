@@ -72,13 +72,8 @@ def read_parts(spark: SparkSession, root: str) -> DataFrame:
 
 
 def current_rows(parts: DataFrame, keys: Sequence[str], version: Sequence[str] = (BATCH,)) -> DataFrame:
-    """One row per key: that of the highest version.
-
-    Within one version equal keys are decided by the row values, which makes the
-    result the same on every run.
-    """
-    ordered = [*version, *[c for c in parts.columns if c not in {*keys, *version}]]
-    return latest_per_key(parts, keys, ordered)
+    """One row per key: that of the highest version."""
+    return latest_per_key(parts, keys, version)
 
 
 def union_replace(old: DataFrame, new: DataFrame, keys: Sequence[str], version: Sequence[str]) -> DataFrame:

@@ -110,3 +110,14 @@ def serving_wire_schema() -> T.StructType:
         f"{name} {'bigint' if bounds else kind}" for name, kind, bounds in SERVING_COLUMNS
     )
     return T.StructType.fromDDL(ddl)
+
+
+def holds_map(kind: T.DataType) -> bool:
+    """Whether a type is or contains a map, which can be neither compared nor hashed."""
+    if isinstance(kind, (T.MapType, T.VariantType)):
+        return True
+    if isinstance(kind, T.ArrayType):
+        return holds_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(holds_map(f.dataType) for f in kind.fields)
+    return False

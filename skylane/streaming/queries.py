@@ -125,7 +125,7 @@ def join_bucket_stream(
         weather.filter(F.col("ts").isNotNull())
         .withWatermark("ts", delay)
         .groupBy(F.window("ts", bucket).alias("bucket"), F.col("district").alias("w_district"))
-        .agg(F.max_by(F.struct(*readings), F.struct("ts", *readings)).alias("reading"))
+        .agg(F.max(F.struct("ts", *readings)).alias("reading"))
         .select(
             F.col("bucket").alias("w_bucket"),
             "w_district",
@@ -144,7 +144,9 @@ def join_bucket_stream(
         & (F.col("district") == F.col("w_district"))
         & (F.col("_salt") == F.col("w_salt"))
     )
-    return rows.join(side, same, "left").select(*traffic.columns, "reading.*")
+    return rows.join(side, same, "left").select(
+        *traffic.columns, *[F.col(f"reading.{c}") for c in readings]
+    )
 
 
 def upsert_parts(df: DataFrame, root: str, checkpoint: str, drain: bool = True) -> StreamingQuery:
