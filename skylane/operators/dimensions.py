@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from skylane import schemas, workspace
 from skylane.functions import as_column
 from skylane.operators.latest import first_per_key
-from skylane.operators.lookup import lookup_join
+from skylane.operators.lookup import lookup_join, reduced_bytes
 
 
 def positional_rename(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -32,10 +32,10 @@ def camera_dimension(df: DataFrame) -> DataFrame:
 
 def fill_missing(df: DataFrame, column: str, mapping: DataFrame, on: str) -> DataFrame:
     """Fill NULLs of ``column`` from ``mapping(on, column)``."""
-    side = first_per_key(mapping.select(on, column), [on], [column])
-    side = side.withColumnRenamed(column, "_fill")
+    listed = mapping.select(on, F.col(column).alias("_fill")).filter(F.col(on).isNotNull())
+    side = first_per_key(listed, [on], ["_fill"])
     return (
-        lookup_join(df, side, [on])
+        lookup_join(df, side, [on], right_bytes=reduced_bytes(listed, [on]))
         .withColumn(column, F.coalesce(column, "_fill"))
         .select(*df.columns)
     )
@@ -64,10 +64,12 @@ def repair_by_mapping(
     Where a key is listed more than once the lowest ``priority`` wins, as the first
     matching branch of a CASE does.
     """
-    side = first_per_key(mapping.select(on, column, priority), [on], [priority, column])
-    side = side.select(on, F.col(column).alias("_repaired"), F.lit(True).alias("_listed"))
+    listed = mapping.filter(F.col(on).isNotNull()).select(
+        on, priority, F.col(column).alias("_repaired"), F.lit(True).alias("_listed")
+    )
+    side = first_per_key(listed, [on], [priority, "_repaired"]).drop(priority)
     return (
-        lookup_join(df, side, [on])
+        lookup_join(df, side, [on], right_bytes=reduced_bytes(listed, [on]))
         .withColumn(column, F.when(F.col("_listed"), F.col("_repaired")).otherwise(F.col(column)))
         .select(*df.columns)
     )

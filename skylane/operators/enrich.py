@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skylane.operators.latest import latest_per_key
-from skylane.operators.lookup import BROADCAST_LIMIT_BYTES, lookup_join
+from skylane.operators.lookup import BROADCAST_LIMIT_BYTES, lookup_join, reduced_bytes
 
 # Time buckets: the calendar columns that make up each bucket's key.
 BUCKET_KEYS = {
@@ -28,9 +28,9 @@ def join_exact_time(
     Weather is first reduced to one reading per instant and district, so a replayed
     message does not multiply traffic rows.
     """
-    readings = last_reading(weather, ["ts", "district"])
-    side = readings.drop("district", "dt", "hour", "minute")
-    return lookup_join(traffic, side, ["ts"], "left", broadcast_limit)
+    side = last_reading(weather, ["ts", "district"]).drop("district", "dt", "hour", "minute")
+    size = reduced_bytes(weather.drop("dt", "hour", "minute"), ["ts", "district"])
+    return lookup_join(traffic, side, ["ts"], "left", broadcast_limit, right_bytes=size)
 
 
 def join_bucket(
@@ -53,9 +53,12 @@ def join_bucket(
     if readings not in READINGS:
         raise ValueError(f"readings must be one of {READINGS}, got {readings!r}")
     keys = BUCKET_KEYS[bucket]
-    side = last_reading(weather, keys) if readings == "last" else weather
-    side = side.select(*keys, *[c for c in side.columns if c not in _SHARED])
-    return lookup_join(traffic, side, keys, "left", broadcast_limit)
+    kept = [*keys, *[c for c in weather.columns if c not in _SHARED]]
+    if readings == "all":
+        return lookup_join(traffic, weather.select(*kept), keys, "left", broadcast_limit)
+    side = last_reading(weather, keys).select(*kept)
+    size = reduced_bytes(weather.select(*kept), keys)
+    return lookup_join(traffic, side, keys, "left", broadcast_limit, right_bytes=size)
 
 
 def last_reading(weather: DataFrame, keys: list[str]) -> DataFrame:

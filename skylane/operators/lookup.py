@@ -24,25 +24,45 @@ FREQUENT_SHARE = 0.005
 _ROW_OVERHEAD = 24
 
 
+def _column_bytes(field: T.StructField) -> Column | int:
+    """Bytes one value takes in memory: fixed by its type, or depending on the value."""
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.StringType):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+    if isinstance(field.dataType, T.BinaryType):
+        return F.coalesce(F.length(c), F.lit(0)) + 16
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+        return 2 * F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 32
+    return 8
+
+
+def _widths(df: DataFrame) -> tuple[int, list[Column]]:
+    """Fixed bytes of a row, and the columns' variable bytes."""
+    sizes = [_column_bytes(f) for f in df.schema.fields]
+    fixed = _ROW_OVERHEAD + sum(s for s in sizes if isinstance(s, int))
+    return fixed, [s.cast("long") for s in sizes if not isinstance(s, int)]
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Bytes the rows take in memory, by one aggregation over the frame."""
-    width = F.lit(_ROW_OVERHEAD)
-    for field in df.schema.fields:
-        c = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.StringType):
-            width = width + F.coalesce(F.octet_length(c), F.lit(0)) + 16
-        elif isinstance(field.dataType, T.BinaryType):
-            width = width + F.coalesce(F.length(c), F.lit(0)) + 16
-        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
-            width = width + 2 * F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 32
-        else:
-            width = width + 8
-    total = df.agg(F.sum(width.cast("long")).alias("bytes")).first()["bytes"]
-    return int(total or 0)
+    fixed, variable = _widths(df)
+    width = sum(variable, F.lit(fixed).cast("long"))
+    return int(df.agg(F.sum(width).alias("bytes")).first()["bytes"] or 0)
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
-    return measured_bytes(df) <= limit
+def reduced_bytes(df: DataFrame, keys: Sequence[str]) -> int:
+    """Upper bound of the bytes left when ``df`` is reduced to one row per key.
+
+    The widest value of every column of a key is counted. Only key columns and
+    columns of variable width are computed for it.
+    """
+    fixed, variable = _widths(df)
+    names = [f"_w{i}" for i in range(len(variable))]
+    widest = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
+        F.lit(fixed).cast("long").alias("_fixed"), *[F.max(w).alias(n) for w, n in zip(variable, names)]
+    )
+    width = sum((F.col(n) for n in names), F.col("_fixed"))
+    return int(widest.agg(F.sum(width).alias("bytes")).first()["bytes"] or 0)
 
 
 def _key_hash(on: Sequence[str]) -> Column:
@@ -126,10 +146,16 @@ def lookup_join(
     how: str = "left",
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
     salts: int = SALTS,
+    right_bytes: int | None = None,
 ) -> DataFrame:
-    """Equi join that keeps the left column order: broadcast if it fits, else salted."""
+    """Equi join that keeps the left column order: broadcast if it fits, else salted.
+
+    ``right_bytes`` is an upper bound of the right side's size where the caller has
+    one; otherwise the side is measured here.
+    """
     on = list(on)
-    if fits_broadcast(right, broadcast_limit):
+    size = measured_bytes(right) if right_bytes is None else right_bytes
+    if size <= broadcast_limit:
         joined = left.join(F.broadcast(right), on, how)
         right_columns = [c for c in right.columns if c not in on]
         return joined.select(*[F.col(f"`{c}`") for c in [*left.columns, *right_columns]])

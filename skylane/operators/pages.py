@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from skylane.functions import markup, places, records
 from skylane.operators.latest import first_per_key
-from skylane.operators.lookup import lookup_join
+from skylane.operators.lookup import lookup_join, reduced_bytes
 
 CAMERA_FIELDS = ("CamId", "DisplayName", "Disctrict", "Publish", "CamStatus")
 
@@ -86,5 +86,6 @@ def camera_records(feed: DataFrame) -> DataFrame:
         records.point_longitude("_entry").alias("longitude"),
         records.point_latitude("_entry").alias("latitude"),
     ).filter(F.col("CamId").isNotNull() & F.col("longitude").isNotNull())
-    side = first_per_key(points, ["page_id", "CamId"], ["longitude", "latitude"])
-    return lookup_join(properties, side, ["page_id", "CamId"])
+    keys = ["page_id", "CamId"]
+    side = first_per_key(points, keys, ["longitude", "latitude"])
+    return lookup_join(properties, side, keys, right_bytes=reduced_bytes(points, keys))

@@ -10,10 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylane.functions import records
-
-# Names the detector knows beside the traffic classes, for frames with other objects.
-CLASS_NAMES = {0: "person", **records.TRAFFIC_CLASSES, 4: "airplane", 6: "train", 8: "boat"}
+# What the detector knows, by class id: the traffic classes and some others.
+CLASS_NAMES = ["person", "bicycle", "car", "motorcycle", "airplane", "bus", "train", "truck", "boat"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,7 +68,7 @@ def raw_traffic(orders: DataFrame, *keep: str) -> DataFrame:
 
     def detected(i: Column) -> Column:
         class_id = ((o + i) % 9).cast("int")
-        name = records.class_name(class_id, CLASS_NAMES)
+        name = F.get(F.array(*[F.lit(n) for n in CLASS_NAMES]), class_id)
         corner = [(i + step).cast("double") for step in range(4)]
         return F.struct(
             class_id.alias("class_id"),
@@ -168,7 +166,7 @@ def last_reading_sql(name: str, keys: str) -> str:
   QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY {order}) = 1)"""
 
 
-_CLASS_CASE = " ".join(f"WHEN {k} THEN '{v}'" for k, v in sorted(CLASS_NAMES.items()))
+_CLASS_CASE = " ".join(f"WHEN {k} THEN '{v}'" for k, v in enumerate(CLASS_NAMES))
 
 TRAFFIC_CLEAN_SQL = f"""
 frames AS (
