@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from skylane import schemas, workspace
 from skylane.functions import as_column
 from skylane.operators.latest import first_per_key
-from skylane.operators.lookup import lookup_join, reduced_bytes
+from skylane.operators.lookup import lookup_join, reduced_bytes, spread_salt
+
+_TIES = 4096
 
 
 def positional_rename(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -96,11 +98,14 @@ def numbered(df: DataFrame, order: Sequence[str], name: str = "id", start: int =
 
     The frame is range-partitioned and written once to the shared folder, so that
     the per-partition counts and the rows come from the same partitioning. Only
-    those counts, one row per partition, pass through the driver's plan.
+    those counts, one row per partition, pass through the driver's plan. Rows that
+    are equal in ``order`` are spread by a tie column, since a range cannot be cut
+    inside one value.
     """
     spark = df.sparkSession
     path = workspace.new_dir(spark, "numbered")
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    tied = df.withColumn("_tie", spread_salt(df, _TIES))
+    ranged = tied.repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
     position = F.monotonically_increasing_id()
     ranged.withColumns({
         "_part": F.shiftright(position, 33).cast("int"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skylane.functions import places
 from skylane.operators.latest import latest_per_key
 from skylane.operators.lookup import BROADCAST_LIMIT_BYTES, lookup_join, reduced_bytes
 
@@ -39,6 +40,7 @@ def join_bucket(
     bucket: str = "minute",
     readings: str = "last",
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
+    match_spellings: bool = False,
 ) -> DataFrame:
     """Traffic left join weather on place and time bucket.
 
@@ -47,11 +49,22 @@ def join_bucket(
     exactly one output row per traffic row on any other. ``all`` is the plain join:
     where a bucket holds several readings, every one of them is paired with every
     traffic row, so its result can be far larger than its inputs.
+
+    ``match_spellings`` compares districts by their normalised key, for feeds that
+    write ``Quận Bình Thạnh`` and ``Bình Thạnh`` for the same place.
     """
     if bucket not in BUCKET_KEYS:
         raise ValueError(f"bucket must be one of {sorted(BUCKET_KEYS)}, got {bucket!r}")
     if readings not in READINGS:
         raise ValueError(f"readings must be one of {READINGS}, got {readings!r}")
+    if match_spellings:
+        names = {"district": "_name", "_key": "district"}
+        left = with_district_key(traffic).withColumnsRenamed(names)
+        right = with_district_key(weather).withColumnsRenamed(names).drop("_name")
+        joined = join_bucket(left, right, bucket, readings, broadcast_limit)
+        return joined.drop("district").withColumnRenamed("_name", "district").select(
+            *traffic.columns, *[c for c in weather.columns if c not in _SHARED]
+        )
     keys = BUCKET_KEYS[bucket]
     kept = [*keys, *[c for c in weather.columns if c not in _SHARED]]
     if readings == "all":
@@ -61,6 +74,13 @@ def join_bucket(
     return lookup_join(traffic, side, keys, "left", broadcast_limit, right_bytes=size)
 
 
+def with_district_key(df: DataFrame) -> DataFrame:
+    """Add ``_key``, the normalised district; each spelling is normalised only once."""
+    names = df.select("district").filter(F.col("district").isNotNull()).distinct()
+    keys = names.select("district", places.district_join_key("district").alias("_key"))
+    return lookup_join(df, keys, ["district"])
+
+
 def last_reading(weather: DataFrame, keys: list[str]) -> DataFrame:
     """Last reading per key; a reading without a key can match nothing and is left out."""
     keyed = weather

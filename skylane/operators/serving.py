@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,22 +93,28 @@ def merge_parts(
     now: Column | None = None,
     days: int = RETENTION_DAYS,
     date_column: str = "dt",
-    version: Sequence[str] = (BATCH,),
-) -> None:
-    """Merge parts into a new version of the table, partitioned by month.
+    previous: str | None = None,
+    after: int = -1,
+) -> int:
+    """Merge parts into a new generation of the table, partitioned by month.
+
+    ``previous`` is the last generation and ``after`` the last part it contains; only
+    later parts are read. Returns the last part merged, for the next call. The new
+    generation goes to a folder of its own, so readers of the old one are undisturbed
+    and a failed merge is simply run again.
 
     Rows are sorted by key inside each file so that scans by camera skip row groups.
     Whole expired months hold no surviving rows and get no directory.
     """
-    rows = current_rows(read_parts(spark, parts_root), keys, version)
+    parts = read_parts(spark, parts_root)
+    through = parts.agg(F.max(BATCH)).first()[0]
+    rows = parts.filter(F.col(BATCH).between(after + 1, through))
+    if previous is not None:
+        merged = spark.read.parquet(previous).drop(MONTH).withColumn(BATCH, F.lit(after))
+        rows = rows.unionByName(merged)
+    rows = current_rows(rows, keys)
     if now is not None:
         rows = unexpired(rows, now, days)
     monthly = rows.drop(BATCH).withColumn(MONTH, F.date_format(date_column, "yyyyMM"))
     sinks.overwrite_partitions(monthly, table_root, [MONTH], list(keys))
-
-
-def table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    return through

@@ -60,6 +60,15 @@ def join_bucket_salted(spark, sf_dir):
     return _bucket_join(spark, sf_dir, "day", limit=0)
 
 
+@query("join_bucket_spellings", _bucket_sql("hour").replace("t.district, ", "'quan ' || t.district[6:] AS district, "))
+def join_bucket_spellings(spark, sf_dir):
+    """Traffic writes ``quan 5`` where weather writes ``Quận 5``."""
+    traffic = clean_traffic(spark, sf_dir)
+    respelled = traffic.withColumn("district", F.regexp_replace("district", "^Quận", "quan"))
+    joined = enrich.join_bucket(respelled, clean_weather(spark, sf_dir), "hour", match_spellings=True)
+    return plain_types(flat_box(joined))
+
+
 @query("join_exact_ts", f"""
 WITH {WEATHER_CLEAN_SQL}, {last_reading_sql('readings', 'ts, district')}
 SELECT e.event_id, e.ts, {_READINGS} FROM events e LEFT JOIN readings w ON e.ts = w.ts""")
