@@ -67,6 +67,7 @@ def append_part(df: DataFrame, root: str, part_id: int) -> None:
 
 
 def read_parts(spark: SparkSession, root: str) -> DataFrame:
+    """All rows of all parts, each with the number of its part."""
     return spark.read.parquet(root)
 
 
@@ -95,19 +96,25 @@ def merge_parts(
     date_column: str = "dt",
     previous: str | None = None,
     after: int = -1,
+    live: bool = False,
 ) -> int:
     """Merge parts into a new generation of the table, partitioned by month.
 
     ``previous`` is the last generation and ``after`` the last part it contains; only
-    later parts are read. Returns the last part merged, for the next call. The new
-    generation goes to a folder of its own, so readers of the old one are undisturbed
-    and a failed merge is simply run again.
+    later parts are read. Returns the last part merged, for the next call; without
+    later parts nothing is written and the previous generation stays the table. The
+    new generation goes to a folder of its own, so readers of the old one are
+    undisturbed and a failed merge is simply run again. While a stream is ``live`` its
+    newest part may be unfinished and is left for the next merge.
 
     Rows are sorted by key inside each file so that scans by camera skip row groups.
     Whole expired months hold no surviving rows and get no directory.
     """
     parts = read_parts(spark, parts_root)
-    through = parts.agg(F.max(BATCH)).first()[0]
+    newest = parts.agg(F.max(BATCH)).first()[0]
+    through = after if newest is None else newest - int(live)
+    if through <= after:
+        return after
     rows = parts.filter(F.col(BATCH).between(after + 1, through))
     if previous is not None:
         merged = spark.read.parquet(previous).drop(MONTH).withColumn(BATCH, F.lit(after))

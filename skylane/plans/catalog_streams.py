@@ -17,7 +17,7 @@ from skylane.plans.catalog_clean import TRAFFIC_COLUMNS_SQL, flat_box, plain_typ
 from skylane.plans.catalog_joins import _READINGS, _TRAFFIC
 from skylane.plans.catalog_lake import EVENT_SCHEMA, _DAILY_LAST
 from skylane.plans.derive import TRAFFIC_CLEAN_SQL, WEATHER_CLEAN_SQL, last_reading_sql, table
-from skylane.plans.registry import query
+from skylane.plans.registry import ORACLES, query
 from skylane.sources import lake
 from skylane.streaming import queries
 
@@ -47,6 +47,15 @@ def stream_clean_weather(spark, sf_dir):
     return plain_types(_drained(spark, "weather-clean", clean.clean_weather(stream)))
 
 
+@query("stream_clean_weather_double", ORACLES["weather_clean_double"])
+def stream_clean_weather_double(spark, sf_dir):
+    path = workspace.new_dir(spark, "weather-raw")
+    raw = derive.as_text_time(derive.raw_weather(table(spark, sf_dir, "events")))
+    raw.write.json(path)
+    stream = queries.file_stream(spark, path, schemas.WEATHER_RAW)
+    return plain_types(_drained(spark, "weather-decimal", clean.clean_weather_decimal(stream)))
+
+
 @query("stream_clean_traffic", f"""
 WITH {TRAFFIC_CLEAN_SQL}
 SELECT {TRAFFIC_COLUMNS_SQL} FROM traffic""")

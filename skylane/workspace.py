@@ -14,6 +14,10 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Many small shuffle partitions to begin with; adaptive execution joins them up
+    # to the advisory size, so the number suits small jobs as well.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.session.timeZone": "Asia/Ho_Chi_Minh",

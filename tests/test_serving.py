@@ -99,6 +99,16 @@ def test_next_generation_reads_only_later_parts(spark, tmp_path):
     rows = sorted((r.cam_id, r.value) for r in spark.read.parquet(second).collect())
     assert rows == [("a", 3), ("b", 2), ("c", 4)]
     assert spark.read.parquet(first).count() == 2
+    assert serving.merge_parts(spark, parts, str(tmp_path / "three"), keys, previous=second, after=1) == 1
+    assert not (tmp_path / "three").exists()
+
+
+def test_newest_part_of_a_running_stream_is_left(spark, tmp_path):
+    parts, table = str(tmp_path / "p"), str(tmp_path / "t")
+    serving.append_part(rows_of(spark, [("a", 1, 1)]), parts, 0)
+    serving.append_part(rows_of(spark, [("a", 1, 2)]), parts, 1)
+    assert serving.merge_parts(spark, parts, table, ["cam_id", "ts"], live=True) == 0
+    assert [r.value for r in spark.read.parquet(table).collect()] == [1]
 
 
 def test_merge_drops_expired_rows_and_sorts_files(spark, tmp_path):
