@@ -10,12 +10,13 @@ from skylane.plans.catalog_clean import PROPS
 from skylane.plans.derive import table
 from skylane.plans.registry import query
 
-# The character references that occur in the pages; the library resolves all.
+# The character references that occur in the pages; the library resolves all. HTML reads
+# these old names without their semicolon too, as where a title was cut off.
 def _unescaped(column: str) -> str:
-    for reference, character in [
-        ("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"),
+    for name, character in [
+        ("quot", '"'), ("copy", "©"), ("middot", "·"), ("lt", "<"), ("gt", ">"), ("amp", "&"),
     ]:
-        column = f"replace({column}, '{reference}', '{character}')"
+        column = f"regexp_replace({column}, '&{name};?', '{character}', 'g')"
     return column
 
 
