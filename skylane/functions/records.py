@@ -104,11 +104,16 @@ def point_latitude(c) -> Column:
     return _matched(c, POINT, 2)
 
 
-def parse_json(c, schema: T.StructType, corrupt: str | None = None) -> Column:
+def parse_json(
+    c, schema: T.StructType, corrupt: str | None = None, strict: bool = False
+) -> Column:
     """JSON text as a struct; malformed text gives an all-NULL struct.
 
-    With ``corrupt`` the struct gets that extra field, holding malformed text.
+    With ``corrupt`` the struct gets that extra field, holding malformed text. With
+    ``strict`` malformed text fails the query instead.
     """
+    if strict:
+        return F.from_json(as_column(c), schema, {"mode": "FAILFAST"})
     if corrupt is None:
         return F.from_json(as_column(c), schema)
     wider = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])

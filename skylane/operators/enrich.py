@@ -29,7 +29,7 @@ def join_exact_time(
     Weather is first reduced to one reading per instant and district, so a replayed
     message does not multiply traffic rows.
     """
-    side = last_reading(weather, ["ts", "district"]).drop("district", "dt", "hour", "minute")
+    side = last_reading(weather, ["ts", "district"], ["ts"]).drop("district", "dt", "hour", "minute")
     size = reduced_bytes(weather.drop("dt", "hour", "minute"), ["ts", "district"])
     return lookup_join(traffic, side, ["ts"], "left", broadcast_limit, right_bytes=size)
 
@@ -81,9 +81,13 @@ def with_district_key(df: DataFrame) -> DataFrame:
     return lookup_join(df, keys, ["district"])
 
 
-def last_reading(weather: DataFrame, keys: list[str]) -> DataFrame:
-    """Last reading per key; a reading without a key can match nothing and is left out."""
+def last_reading(weather: DataFrame, keys: list[str], matched: list[str] | None = None) -> DataFrame:
+    """Last reading per key.
+
+    A reading without one of the ``matched`` columns, by default all keys, can match
+    nothing and is left out.
+    """
     keyed = weather
-    for key in keys:
+    for key in matched or keys:
         keyed = keyed.filter(F.col(key).isNotNull())
     return latest_per_key(keyed, keys, ["ts"])

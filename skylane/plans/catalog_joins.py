@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from skylane.operators import audit, dimensions, enrich, lookup
 from skylane.operators.latest import latest_per_key
-from skylane.plans import derive
 from skylane.plans.catalog_clean import (
     TRAFFIC_COLUMNS_SQL,
     clean_traffic,

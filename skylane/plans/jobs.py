@@ -17,13 +17,13 @@ from skylane import schemas
 from skylane.functions import markup, timeparts
 from skylane.operators import clean, dimensions, enrich, sinks
 from skylane.operators import pages as page_rows
-from skylane.sources import lake
+from skylane.sources import kafka, lake
 from skylane.streaming import queries
 
 TRAFFIC_TOPIC = "traffic-object-raw"
 WEATHER_TOPIC = "weather-raw"
 
-RunDate = "str | dt.date | None"
+RunDate = str | dt.date | None
 
 
 def raw_event_root(base: str, topic: str) -> str:
@@ -115,6 +115,20 @@ def sync_events(
     return queries.sync_lake(messages, raw_event_root(base, topic), checkpoint, level, zone)
 
 
+def publish_clean_weather(
+    spark: SparkSession, servers: str, source: str, sink: str, checkpoint: str,
+    starting: str | None = "latest", zone: str | None = None,
+) -> StreamingQuery:
+    """Raw weather topic to cleaned weather topic, continuously."""
+    raw = kafka.read_stream(spark, kafka.stream_options(servers, source, starting), schemas.WEATHER_RAW)
+    return queries.to_kafka(clean.clean_weather(raw, zone), servers, sink, checkpoint).start()
+
+
+def serve_messages(messages: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+    """Serving messages into parts of the serving table: typed, in range, without NULLs."""
+    return queries.upsert_parts(kafka.parse_serving(messages), root, checkpoint)
+
+
 def repair_district(dim: DataFrame, mapping: DataFrame) -> DataFrame:
     """Cameras with corrected districts."""
     return dimensions.repair_by_mapping(dim, mapping, "id", "district")

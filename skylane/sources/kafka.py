@@ -65,9 +65,11 @@ def read_batch(spark: SparkSession, options: dict[str, str], schema: T.StructTyp
     return parse_value(spark.read.format("kafka").options(**options).load(), schema)
 
 
-def parse_value(df: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Message bytes as columns; a malformed message gives a row of NULLs."""
-    parsed = records.parse_json(F.col("value").cast("string"), schema)
+def parse_value(
+    df: DataFrame, schema: T.StructType, keep: tuple[str, ...] = (), strict: bool = False
+) -> DataFrame:
+    """Message bytes as columns; a malformed message gives a row of NULLs, or fails if ``strict``."""
+    parsed = records.parse_json(F.col("value").cast("string"), schema, strict=strict)
     return df.select(*keep, parsed.alias("data")).select(*keep, "data.*")
 
 

@@ -228,13 +228,13 @@ def test_exact_time_join_keeps_the_traffic_columns_once(spark):
     at = dt.datetime(2025, 6, 1, 8)
     t = spark.createDataFrame([("c1", "Quận 1", at), ("c2", "Quận 1", at + dt.timedelta(seconds=1))],
                               "cam_id string, district string, ts timestamp")
-    w = spark.createDataFrame([(at, "Quận 1", 30), (at, "Quận 1", 30), (at, "Quận 2", 28)],
+    w = spark.createDataFrame([(at, "Quận 1", 30), (at, "Quận 1", 30), (at, "Quận 2", 28), (at, None, 27)],
                               "ts timestamp, district string, temp_c int")
     w = w.select("*", F.hour("ts").alias("hour"), F.to_date("ts").alias("dt"), F.minute("ts").alias("minute"))
     joined = enrich.join_exact_time(t, w)
     assert joined.columns == ["cam_id", "district", "ts", "temp_c"]
     got = sorted((r.cam_id, r.district, r.temp_c or 0) for r in joined.collect())
-    assert got == [("c1", "Quận 1", 28), ("c1", "Quận 1", 30), ("c2", "Quận 1", 0)]
+    assert got == [("c1", "Quận 1", 27), ("c1", "Quận 1", 28), ("c1", "Quận 1", 30), ("c2", "Quận 1", 0)]
 
 
 def test_unknown_options_are_refused(spark):

@@ -278,6 +278,13 @@ def test_malformed_messages_are_set_aside(spark):
     assert [r.value for r in bad.collect()] == ['{"cam_id": ']
 
 
+def test_strict_parsing_fails_on_malformed_messages(spark):
+    topic = spark.createDataFrame([(bytearray(b'{"cam_id": '),)], "value binary")
+    assert kafka.parse_value(topic, schemas.traffic_raw()).first().cam_id is None
+    with pytest.raises(Exception, match="(?i)malformed"):
+        kafka.parse_value(topic, schemas.traffic_raw(), strict=True).collect()
+
+
 def test_time_range_on_stored_rows(spark):
     end = dt.datetime(2025, 6, 1, 8)
     rows = [(end - dt.timedelta(minutes=m), m) for m in (0, 14, 15, 16)]

@@ -51,7 +51,9 @@ def test_location_keys_ignore_how_accents_are_encoded(spark, values):
 
 
 @FEW
-@given(st.lists(st.lists(st.tuples(st.sampled_from("abc"), st.text("xyz", max_size=2)), max_size=8), min_size=1, max_size=20))
+@given(st.lists(
+    st.lists(st.tuples(st.sampled_from("abc"), st.text("xyz", max_size=2)), max_size=8), min_size=1, max_size=20
+))
 def test_entries_become_a_dict(spark, values):
     kind = "array<struct<key: string, value: string>>"
     assert apply(spark, records.entries_to_map, values, kind) == [dict(v) for v in values]
@@ -66,7 +68,9 @@ def test_references_are_resolved_like_html(spark, values):
 
 
 @FEW
-@given(st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 9)), min_size=1, max_size=60))
+@given(st.lists(
+    st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 9)), min_size=1, max_size=60
+))
 def test_latest_is_the_greatest_row(spark, rows):
     df = spark.createDataFrame(rows, "k int, t int, id int").repartition(3)
     best = {}

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from skylane import schemas
 from skylane.operators import clean, enrich, serving
+from skylane.plans import jobs
 from skylane.streaming import queries
 
 BASE = dt.datetime(2025, 6, 1, 8)
@@ -146,6 +147,20 @@ def test_upsert_over_several_batches(spark, tmp_path):
     ]
 
 
+def test_serving_messages_become_parts(spark, tmp_path):
+    texts = [
+        '{"cam_id": "c1", "ts": "2025-06-01T08:00:00Z", "temp_c": 31, "humidity_pct": 999}',
+        '{"cam_id": "c1", "ts": "2025-06-01T08:00:00Z", "temp_c": 31, "humidity_pct": 999}',
+        '{"cam_id": "c2", "ts": "2025-06-01T08:00:00Z"}',
+    ]
+    stream = stream_of(spark, messages(spark, texts), str(tmp_path / "in"))
+    jobs.serve_messages(stream, str(tmp_path / "parts"), str(tmp_path / "mark")).awaitTermination()
+    parts = serving.read_parts(spark, str(tmp_path / "parts"))
+    rows = serving.current_rows(parts, serving.FRAME_KEY).orderBy("cam_id").collect()
+    assert parts.count() == 3
+    assert [(r.cam_id, r.temp_c, r.humidity_pct, r.status) for r in rows] == [("c1", 31, 0, ""), ("c2", 0, 0, "")]
+
+
 def test_lookup_is_read_again_for_every_batch(spark, tmp_path):
     table, source = str(tmp_path / "dim"), str(tmp_path / "in")
     out, mark = str(tmp_path / "out"), str(tmp_path / "mark")
