@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from skylane.functions import timeparts
@@ -35,6 +35,15 @@ def partition_counts(df: DataFrame, time_column: str, level: str = "hour") -> Da
     )
 
 
+def counted(df: DataFrame, name: str = "load") -> tuple[DataFrame, Observation]:
+    """The frame, and the number of rows (``rows``) that pass when it is written.
+
+    The count comes with the write itself; the frame is not computed a second time.
+    """
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
 def missing_rows(df: DataFrame, column: str) -> DataFrame:
     """Rows whose ``column`` is NULL."""
     return df.filter(F.col(column).isNull())

@@ -15,7 +15,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from skylane import schemas
 from skylane.functions import markup, timeparts
-from skylane.operators import clean, dimensions, enrich, sinks
+from skylane.operators import audit, clean, dimensions, enrich, sinks
 from skylane.operators import pages as page_rows
 from skylane.sources import kafka, lake
 from skylane.streaming import queries
@@ -89,15 +89,19 @@ def build_dim_cam(spark: SparkSession, tsv_path: str, out_path: str) -> None:
     sinks.overwrite_parquet(dimensions.camera_dimension(cameras), out_path)
 
 
-def ingest_dim_cam(properties: DataFrame, mapping: DataFrame, tsv_path: str, table: str | None = None) -> None:
-    """Published camera records into the raw dimension file, and into ``table`` if named."""
-    cameras = dimensions.camera_feed(properties, mapping)
+def ingest_dim_cam(properties: DataFrame, mapping: DataFrame, tsv_path: str, table: str | None = None) -> int:
+    """Published camera records into the raw dimension file, and into ``table`` if named.
+
+    Returns the number of cameras written.
+    """
+    cameras, seen = audit.counted(dimensions.camera_feed(properties, mapping), "cameras")
     sinks.write_tsv(cameras, tsv_path)
     if table is not None:
         columns = ", ".join(f"{c} string" for c in schemas.CAMERA_COLUMNS)
         sinks.create_table_if_absent(cameras.sparkSession, table, columns)
         written = lake.read_tsv(cameras.sparkSession, tsv_path, schemas.CAMERA_COLUMNS)
         sinks.truncate_and_load(written, table)
+    return seen.get["rows"]
 
 
 def ingest_dim_weather(city_pages: DataFrame, site: str, tsv_path: str) -> None:

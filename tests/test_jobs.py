@@ -129,7 +129,7 @@ def test_camera_dimension_jobs(spark, tmp_path):
     )
     mapping = spark.createDataFrame([("a", "Quận 3"), ("b", "Quận 9")], "id string, district string")
     tsv, out = str(tmp_path / "cam.tsv"), str(tmp_path / "dim")
-    jobs.ingest_dim_cam(feed, mapping, tsv)
+    assert jobs.ingest_dim_cam(feed, mapping, tsv) == 3
     jobs.build_dim_cam(spark, tsv, out)
     rows = sorted(map(tuple, spark.read.parquet(out).collect()))
     assert rows == [("a", "Gate", "Quận 3", 106.7, 10.8), ("b", "Bridge", "Quận 1", None, None),
