@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -29,15 +28,11 @@ RECOMMENDED_CONF = {
 def base_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local master may run without the setting; there one machine is the
-    whole cluster, so a temporary folder is shared by definition.
+    Where the session doesn't set it, the warehouse is used, which driver and executors
+    share as well.
     """
-    configured = spark.conf.get(CHECKPOINT_CONF, None)
-    if configured:
-        return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="skylane-")
-    raise ValueError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
+    configured = spark.conf.get(CHECKPOINT_CONF, None) or spark.conf.get("spark.sql.warehouse.dir")
+    return configured.rstrip("/")
 
 
 def new_dir(spark: SparkSession, label: str) -> str:
