@@ -7,6 +7,7 @@ through Python, to resolve character references exactly.
 from __future__ import annotations
 
 import html
+import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -16,9 +17,8 @@ from pyspark.sql import types as T
 from skylane.functions import as_column
 
 # Markup of a current-weather page.
-CARD_OPEN = '<div class="current-weather-card card-module content-module">'
-NEXT_MODULE = " content-module"
-ITEM_OPEN = '<div class="detail-item spaced-content">'
+CARD_CLASS = "current-weather-card"
+ITEM_CLASS = "detail-item"
 TIME_PATTERN = r'(?s)<p class="sub">(.*?)</p>'
 PHRASE_PATTERN = r'(?s)<div class="phrase">(.*?)</div>'
 TEMPERATURE_PATTERN = r'(?s)<div class="display-temp">(.*?)</div>'
@@ -26,11 +26,14 @@ SEARCH_RESULT_CLASS = "search-result"
 
 TAG = r"(?s)<[^>]*>"
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
-ANCHOR = r"(?is)<a\s[^>]*>.*?</a>"
-ANCHOR_OPEN = r"(?is)^<a\s([^>]*)>"
-ANCHOR_TEXT = r"(?is)^<a\s[^>]*>(.*)</a>$"
-HREF = r'(?i)\bhref\s*=\s*"([^"]*)"'
-CLASS = r'(?i)\bclass\s*=\s*"([^"]*)"'
+COMMENT = r"(?s)<!--.*?-->"
+# What stands in a tag behind its name; quoted values may hold the closing sign.
+INSIDE = r"""(?:[^>"']|"[^"]*"|'[^']*')*+"""
+ANCHOR = rf"(?is)<a\s{INSIDE}>.*?</a>"
+ANCHOR_OPEN = rf"(?is)^<a\s({INSIDE})>"
+ANCHOR_TEXT = rf"(?is)^<a\s{INSIDE}>(.*)</a>$"
+ATTRIBUTE = r"""(?s)[^\s"'=<>/]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
+ITEM_OPEN = rf"""(?i)<div\s(?=[^>]*\b{ITEM_CLASS}\b){INSIDE}>"""
 
 
 @F.pandas_udf(T.StringType())
@@ -39,6 +42,12 @@ def unescape(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: html.unescape(t) if "&" in t else t, na_action="ignore")
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def unescape_all(lists: pd.Series) -> pd.Series:
+    """:func:`unescape` for every text of a list."""
+    return lists.map(lambda texts: [html.unescape(t) if t else t for t in texts], na_action="ignore")
+
+
 def without_tags(c) -> Column:
     return F.regexp_replace(as_column(c), TAG, "")
 
@@ -56,8 +65,17 @@ def page_title(c) -> Column:
 
 
 def anchors(c) -> Column:
-    """Every ``<a …>…</a>`` of a page, in page order, as text."""
-    return F.regexp_extract_all(as_column(c), F.lit(ANCHOR), F.lit(0))
+    """Every ``<a …>…</a>`` of a page outside of comments, in page order, as text."""
+    visible = F.regexp_replace(as_column(c), COMMENT, "")
+    return F.regexp_extract_all(visible, F.lit(ANCHOR), F.lit(0))
+
+
+def attribute(attributes, name: str) -> Column:
+    """Value of the first attribute called ``name``, in whatever quotes; NULL without one."""
+    each = F.regexp_extract_all(as_column(attributes), F.lit(ATTRIBUTE), F.lit(0))
+    named = F.filter(each, lambda a: F.lower(F.regexp_extract(a, r"^[^\s=]+", 0)) == F.lit(name))
+    value = F.regexp_replace(F.get(named, F.lit(0)), r"(?s)^[^\s=]+\s*=\s*", "")
+    return F.regexp_replace(value, r"""(?s)^(["'])(.*)\1$""", "$2")
 
 
 def anchor_attributes(c) -> Column:
@@ -69,21 +87,38 @@ def anchor_text(c) -> Column:
 
 
 def anchor_href(c) -> Column:
-    return unescape(_found(anchor_attributes(c), HREF))
+    return unescape(attribute(anchor_attributes(c), "href"))
 
 
 def anchor_class(c) -> Column:
     """Value of the class attribute, blanks trimmed; NULL without one."""
-    return F.trim(_found(anchor_attributes(c), CLASS))
+    return F.trim(attribute(anchor_attributes(c), "class"))
 
 
-def weather_card(c) -> Column:
-    """Page text of the current-weather card, NULL without a card.
+def element_text(page: str, name: str) -> str | None:
+    """What stands between the first ``div`` of class ``name`` and its own end tag."""
+    for opened in re.finditer(rf"<div\s({INSIDE})>", page, re.I | re.S):
+        classes = re.search(r"""(?:^|\s)class\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", opened[1], re.I)
+        if classes is None or name not in (classes[1] or classes[2] or classes[3] or "").split():
+            continue
+        depth = 1
+        for tag in re.finditer(rf"<(/?)div\b{INSIDE}>", page[opened.end():], re.I | re.S):
+            depth += -1 if tag[1] else 1
+            if depth == 0:
+                return page[opened.end():opened.end() + tag.start()]
+        return page[opened.end():]
+    return None
 
-    The card starts at its opening tag and ends where the page's next module begins.
-    """
-    after = F.try_element_at(F.split(as_column(c), rf"\Q{CARD_OPEN}\E", 2), F.lit(2))
-    return F.split_part(after, F.lit(NEXT_MODULE), F.lit(1))
+
+@F.pandas_udf(T.StringType())
+def _cards(pages: pd.Series) -> pd.Series:
+    return pages.map(lambda page: element_text(re.sub(COMMENT, "", page), CARD_CLASS), na_action="ignore")
+
+
+def weather_card(c) -> Column:
+    """Page text of the current-weather card, NULL without a card."""
+    page = as_column(c)
+    return _cards(F.when(F.contains(page, F.lit(CARD_CLASS)), page))
 
 
 def card_field(card, pattern: str) -> Column:
@@ -96,7 +131,7 @@ def card_items(card) -> Column:
     An item's text holds its key and its value on the first two non-blank lines.
     Items without two lines are skipped rather than failing the page.
     """
-    pieces = F.split(as_column(card), rf"\Q{ITEM_OPEN}\E")
+    pieces = F.split(as_column(card), ITEM_OPEN)
     lines = F.transform(
         F.filter(pieces, lambda item, i: i > 0),
         lambda item: F.filter(F.split(without_tags(item), "\n"), lambda line: line != ""),

@@ -56,3 +56,28 @@ def round_score(c) -> Column:
     the value exact enough that half-even on it equals rounding the binary value.
     """
     return F.bround(as_column(c).cast("float").cast("double"), 2)
+
+
+# How tabs, line breaks and backslashes are written within a field of a line.
+_ESCAPES = (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def escaped(c) -> Column:
+    """Text on one line: what would end a field or a line is written with a backslash."""
+    text = as_column(c)
+    for plain, written in _ESCAPES:
+        text = F.replace(text, F.lit(plain), F.lit(written))
+    return text
+
+
+def unescaped(c) -> Column:
+    """Text as it was before :func:`escaped`; a backslash before any other sign stays."""
+    # Pairs of backslashes are cut out first, so that what follows one isn't read with it.
+    parts = F.transform(
+        F.split(as_column(c), r"\\\\"),
+        lambda part: F.replace(
+            F.replace(F.replace(part, F.lit("\\t"), F.lit("\t")), F.lit("\\n"), F.lit("\n")),
+            F.lit("\\r"), F.lit("\r"),
+        ),
+    )
+    return F.array_join(parts, "\\")

@@ -13,8 +13,11 @@ from skylane.functions import as_column
 # Detector class ids that count as traffic, with their names.
 TRAFFIC_CLASSES = {1: "bicycle", 2: "car", 3: "motorcycle", 5: "bus", 7: "truck"}
 
-# How the camera feed writes property lists, points and ids.
-PROPERTY_LIST = r'\[\{"__type":"[^"]*".*?"Format":null\}\]'
+# A JSON list of flat objects: it ends at the first bracket outside of a string.
+PROPERTY_LIST = r'\[\{"__type":(?:[^\[\]"]++|"(?:[^"\\]|\\.)*+")*+\]'
+
+# How the camera feed ends its property lists, and writes points and ids.
+PROPERTY_LIST_END = '"Format":null}]'
 PROPERTY_SCHEMA = "array<struct<Name: string, Value: string>>"
 POINT = r"POINT\((\d+\.\d+) (\d+\.\d+)\)"
 POINT_ENTRY = r"(?s)\[([^\[\]]*new Ajax\.Web\.DataTable\(\[.*?\]\]\)[^\]]*)\]"
@@ -58,20 +61,26 @@ def to_message(columns: Iterable[str]) -> Column:
 def entries_to_map(entries) -> Column:
     """Map from (key, value) entries; a repeated key keeps its last value.
 
-    The fold runs over the property list of one record, so its cost is bounded by
-    that record and no rows meet.
+    Entries are sorted by key and place, and those followed by their own key are left out.
     """
-    latest = F.aggregate(
-        as_column(entries),
-        F.array().cast("array<struct<key: string, value: string>>"),
-        lambda kept, e: F.concat(F.filter(kept, lambda k: k["key"] != e["key"]), F.array(e)),
+    placed = F.transform(
+        as_column(entries), lambda e, i: F.struct(e["key"].alias("key"), i.alias("i"), e["value"].alias("value"))
+    )
+    ordered = F.array_sort(F.filter(placed, lambda e: e["key"].isNotNull()))
+    following = F.slice(ordered, 2, F.greatest(F.size(ordered), F.lit(1)))
+    last = F.filter(
+        F.arrays_zip(ordered.alias("e"), following.alias("n")),
+        lambda z: ~z["e"]["key"].eqNullSafe(z["n"]["key"]),
+    )
+    return F.map_from_entries(
+        F.transform(last, lambda z: F.struct(z["e"]["key"].alias("key"), z["e"]["value"].alias("value")))
     )
-    return F.map_from_entries(F.filter(latest, lambda e: e["key"].isNotNull()))
 
 
 def property_lists(c) -> Column:
-    """Every property list embedded in feed text, as JSON text."""
-    return F.regexp_extract_all(as_column(c), F.lit(PROPERTY_LIST), F.lit(0))
+    """Every property list embedded in feed text, as JSON text; lists of other types are left out."""
+    lists = F.regexp_extract_all(as_column(c), F.lit(PROPERTY_LIST), F.lit(0))
+    return F.filter(lists, lambda found: found.endswith(PROPERTY_LIST_END))
 
 
 def property_map(c) -> Column:
@@ -82,6 +91,15 @@ def property_map(c) -> Column:
     )
 
 
+def embedded_json(c, depth: int = 4) -> Column:
+    """The first JSON object inside other text, whose objects nest at most ``depth`` deep."""
+    text = r'"(?:[^"\\]|\\.)*+"'
+    found = rf"\{{(?:[^{{}}\"]++|{text})*+\}}"
+    for _ in range(depth - 1):
+        found = rf"\{{(?:[^{{}}\"]++|{text}|{found})*+\}}"
+    return F.regexp_substr(as_column(c), F.lit(found))
+
+
 def point_entries(c) -> Column:
     """Every feed entry that carries a point table, as text."""
     return F.regexp_extract_all(as_column(c), F.lit(POINT_ENTRY), F.lit(1))

@@ -23,9 +23,19 @@ def to_timestamp(c) -> Column:
 
 
 def local_time(c, zone: str | None = None) -> Column:
-    """Wall-clock time in ``zone`` (the session zone when none is given)."""
-    wall = as_column(c).cast("timestamp_ntz")
-    return wall if zone is None else F.convert_timezone(None, F.lit(zone), wall)
+    """Wall-clock time in ``zone`` (the session zone when none is given).
+
+    An instant is converted straight to the zone, never by the session's wall clock, which
+    shows some instants twice. Times without a zone are the session's.
+    """
+    if zone is None:
+        return as_column(c).cast("timestamp_ntz")
+    shifted = F.from_utc_timestamp(as_column(c).cast("timestamp"), zone)
+    return F.expr("timestamp_ntz'1970-01-01 00:00:00'") + _seconds(F.unix_micros(shifted))
+
+
+def _seconds(micros: Column) -> Column:
+    return F.make_dt_interval(secs=(micros.cast("decimal(20,0)") / F.lit(1000000)).cast("decimal(18,6)"))
 
 
 def calendar_parts(c, zone: str | None = None) -> dict[str, Column]:
@@ -65,6 +75,16 @@ def image_path(bucket: str, cam_id, ts, zone: str | None = None) -> Column:
     )
 
 
-def iso_text(c) -> Column:
-    """ISO-8601 text with the session zone's offset."""
-    return F.date_format(as_column(c), ISO_FORMAT)
+def iso_text(c, zone: str | None = None) -> Column:
+    """ISO-8601 text with the offset of ``zone`` (the session zone when none is given)."""
+    if zone is None:
+        return F.date_format(as_column(c), ISO_FORMAT)
+    instant = as_column(c).cast("timestamp")
+    minutes = (
+        (F.unix_micros(F.from_utc_timestamp(instant, zone)) - F.unix_micros(instant)) / 60000000
+    ).cast("int")
+    offset = F.when(minutes == 0, F.lit("Z")).otherwise(F.format_string(
+        "%s%02d:%02d", F.when(minutes < 0, F.lit("-")).otherwise(F.lit("+")),
+        F.floor(F.abs(minutes) / 60).cast("int"), F.abs(minutes) % 60,
+    ))
+    return F.concat(F.date_format(local_time(instant, zone), "yyyy-MM-dd'T'HH:mm:ss"), offset)

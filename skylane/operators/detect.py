@@ -12,10 +12,10 @@ from pyspark.sql import types as T
 from skylane import schemas
 from skylane.functions import measures, records, timeparts
 
-# Called once per task; gives a function from image bytes to
+# Called once per task; gives a function from a batch of image bytes to as many results:
 # ((height, width), [(class_id, score, (x1, y1, x2, y2)), …]), or None for bytes
 # that cannot be decoded.
-PredictorFactory = Callable[[], Callable[[bytes], "tuple[Sequence[int], list] | None"]]
+PredictorFactory = Callable[[], Callable[[list[bytes]], "list[tuple[Sequence[int], list] | None]"]]
 
 _RAW_OBJECT = "struct<class_id: int, confidence: double, coordinates: array<double>>"
 
@@ -46,7 +46,9 @@ def detect(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         predict = make_predictor()
         for batch in batches:
-            found = [predict(blob) if blob is not None else None for blob in batch.pop("_content")]
+            blobs = list(batch.pop("_content"))
+            results = iter(predict([blob for blob in blobs if blob is not None]))
+            found = [None if blob is None else next(results) for blob in blobs]
             batch["image_shape"] = [None if f is None else [int(n) for n in f[0]] for f in found]
             batch["raw"] = [
                 None if f is None else [
@@ -78,13 +80,13 @@ def detect(
 
 def traffic_events(
     detections: DataFrame, bucket: str, cam_id: str = "cam_id", district: str = "district",
-    taken_at: str = "taken_at",
+    taken_at: str = "taken_at", zone: str | None = None,
 ) -> DataFrame:
     """Detection rows as raw traffic events, ready to publish."""
     return detections.select(
         F.col(cam_id).alias("cam_id"),
-        timeparts.image_path(bucket, cam_id, taken_at).alias("img"),
+        timeparts.image_path(bucket, cam_id, taken_at, zone).alias("img"),
         F.col(district).alias("district"),
-        timeparts.iso_text(taken_at).alias("timestamp"),
+        timeparts.iso_text(taken_at, zone).alias("timestamp"),
         "image_shape", "total", "objects",
     )

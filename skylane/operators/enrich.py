@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skylane.functions import places
 from skylane.operators.latest import latest_per_key
-from skylane.operators.lookup import BROADCAST_LIMIT_BYTES, lookup_join, reduced_bytes
+from skylane.operators.lookup import lookup_join
 
 # Time buckets: the calendar columns that make up each bucket's key.
 BUCKET_KEYS = {
@@ -20,18 +20,18 @@ READINGS = ("last", "all")
 # Key columns exist on both sides; the traffic side's copies are the ones kept.
 _SHARED = ["district", "dt", "hour", "minute", "ts"]
 
+# Columns that the frames have while districts are compared by key.
+_NAME, _KEY = "district_as_written", "district_join_key"
 
-def join_exact_time(
-    traffic: DataFrame, weather: DataFrame, broadcast_limit: int = BROADCAST_LIMIT_BYTES
-) -> DataFrame:
+
+def join_exact_time(traffic: DataFrame, weather: DataFrame, shuffled: bool = False) -> DataFrame:
     """Traffic left join weather on the same instant, whatever the district.
 
     Weather is first reduced to one reading per instant and district, so a replayed
     message does not multiply traffic rows.
     """
     side = last_reading(weather, ["ts", "district"], ["ts"]).drop("district", "dt", "hour", "minute")
-    size = reduced_bytes(weather.drop("dt", "hour", "minute"), ["ts", "district"])
-    return lookup_join(traffic, side, ["ts"], "left", broadcast_limit, right_bytes=size)
+    return lookup_join(traffic, side, ["ts"], "left", shuffled)
 
 
 def join_bucket(
@@ -39,7 +39,7 @@ def join_bucket(
     weather: DataFrame,
     bucket: str = "minute",
     readings: str = "last",
-    broadcast_limit: int = BROADCAST_LIMIT_BYTES,
+    shuffled: bool = False,
     match_spellings: bool = False,
 ) -> DataFrame:
     """Traffic left join weather on place and time bucket.
@@ -58,27 +58,29 @@ def join_bucket(
     if readings not in READINGS:
         raise ValueError(f"readings must be one of {READINGS}, got {readings!r}")
     if match_spellings:
-        names = {"district": "_name", "_key": "district"}
-        left = with_district_key(traffic).withColumnsRenamed(names)
-        right = with_district_key(weather).withColumnsRenamed(names).drop("_name")
-        joined = join_bucket(left, right, bucket, readings, broadcast_limit)
-        return joined.drop("district").withColumnRenamed("_name", "district").select(
+        keys = district_keys(traffic, weather)
+        names = {"district": _NAME, _KEY: "district"}
+        left = lookup_join(traffic, keys, ["district"]).withColumnsRenamed(names)
+        right = lookup_join(weather, keys, ["district"]).withColumnsRenamed(names).drop(_NAME)
+        joined = join_bucket(left, right, bucket, readings, shuffled)
+        return joined.drop("district").withColumnRenamed(_NAME, "district").select(
             *traffic.columns, *[c for c in weather.columns if c not in _SHARED]
         )
     keys = BUCKET_KEYS[bucket]
     kept = [*keys, *[c for c in weather.columns if c not in _SHARED]]
     if readings == "all":
-        return lookup_join(traffic, weather.select(*kept), keys, "left", broadcast_limit)
+        return lookup_join(traffic, weather.select(*kept), keys, "left", shuffled)
     side = last_reading(weather, keys).select(*kept)
-    size = reduced_bytes(weather.select(*kept), keys)
-    return lookup_join(traffic, side, keys, "left", broadcast_limit, right_bytes=size)
+    return lookup_join(traffic, side, keys, "left", shuffled)
 
 
-def with_district_key(df: DataFrame) -> DataFrame:
-    """Add ``_key``, the normalised district; each spelling is normalised only once."""
-    names = df.select("district").filter(F.col("district").isNotNull()).distinct()
-    keys = names.select("district", places.district_join_key("district").alias("_key"))
-    return lookup_join(df, keys, ["district"])
+def district_keys(*frames: DataFrame) -> DataFrame:
+    """Every spelling of a district in the frames with its normalised key, each worked out once."""
+    names = None
+    for df in frames:
+        own = df.select("district").filter(F.col("district").isNotNull()).distinct()
+        names = own if names is None else names.union(own)
+    return names.distinct().select("district", places.district_join_key("district").alias(_KEY))
 
 
 def last_reading(weather: DataFrame, keys: list[str], matched: list[str] | None = None) -> DataFrame:

@@ -1,8 +1,10 @@
 """Left and inner joins of a large frame against a smaller one.
 
-The lookup side is broadcast only after its size was measured. Beyond the limit the
-join shuffles, and keys that are frequent on the large side are split over several
-tasks by a salt.
+``lookup_join`` leaves the strategy to the optimizer: statistics and, behind an exchange,
+the real size at run time decide whether a side is broadcast, and adaptive execution
+splits partitions of frequent keys. ``salted_join`` always shuffles and splits frequent
+keys itself, in proportion to their rows. Both take the same keys and join types and give
+the same rows.
 """
 
 from __future__ import annotations
@@ -11,84 +13,76 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from skylane.schemas import holds_map
 
-BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
-SALTS = 32
-# A key is treated as frequent from this share of the rows on. The frequent-item
-# sketch then returns at most 1 / share candidates, whatever the table's size.
-FREQUENT_SHARE = 0.005
+JOINS = ("left", "inner")
 
-_ROW_OVERHEAD = 24
+# freqItems takes no smaller share.
+_LEAST_SHARE = 1.1e-4
 
 
-def _column_bytes(field: T.StructField) -> Column | int:
-    """Bytes one value takes in memory: fixed by its type, or depending on the value."""
-    c = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, T.StringType):
-        return F.coalesce(F.octet_length(c), F.lit(0)) + 16
-    if isinstance(field.dataType, T.BinaryType):
-        return F.coalesce(F.length(c), F.lit(0)) + 16
-    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
-        return 2 * F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 32
-    return 8
+def _key(name: str) -> Column:
+    return F.col(f"`{name}`")
 
 
-def _widths(df: DataFrame) -> tuple[int, list[Column]]:
-    """Fixed bytes of a row, and the columns' variable bytes."""
-    sizes = [_column_bytes(f) for f in df.schema.fields]
-    fixed = _ROW_OVERHEAD + sum(s for s in sizes if isinstance(s, int))
-    return fixed, [s.cast("long") for s in sizes if not isinstance(s, int)]
+def _fresh(name: str, *frames: DataFrame) -> str:
+    """``name``, with underscores before it until no frame has such a column."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name in taken:
+        name = "_" + name
+    return name
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Bytes the rows take in memory, by one aggregation over the frame."""
-    fixed, variable = _widths(df)
-    width = sum(variable, F.lit(fixed).cast("long"))
-    return int(df.agg(F.sum(width).alias("bytes")).first()["bytes"] or 0)
+def _checked(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> list[str]:
+    if how not in JOINS:
+        raise ValueError(f"a lookup is a left or inner join, got {how!r}")
+    on = list(on)
+    for side, df in (("left", left), ("right", right)):
+        missing = [k for k in on if k not in df.columns]
+        if missing:
+            raise ValueError(f"the {side} side has no column {missing[0]!r}")
+    return on
 
 
-def reduced_bytes(df: DataFrame, keys: Sequence[str]) -> int:
-    """Upper bound of the bytes left when ``df`` is reduced to one row per key.
+def _alike(left: DataFrame, right: DataFrame, on: Sequence[str]) -> list[Column]:
+    """The keys in the types in which the join compares them."""
+    both = left.select(*map(_key, on)).union(right.select(*map(_key, on))).schema
+    return [_key(k).cast(f.dataType) for k, f in zip(on, both.fields)]
 
-    The widest value of every column of a key is counted. Only key columns and
-    columns of variable width are computed for it.
-    """
-    fixed, variable = _widths(df)
-    names = [f"_w{i}" for i in range(len(variable))]
-    widest = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
-        F.lit(fixed).cast("long").alias("_fixed"), *[F.max(w).alias(n) for w, n in zip(variable, names)]
-    )
-    width = sum((F.col(n) for n in names), F.col("_fixed"))
-    return int(widest.agg(F.sum(width).alias("bytes")).first()["bytes"] or 0)
 
+def _columns(left: DataFrame, right: DataFrame, on: Sequence[str]) -> list[Column]:
+    return [_key(c) for c in [*left.columns, *[c for c in right.columns if c not in on]]]
 
-def _key_hash(on: Sequence[str]) -> Column:
-    return F.xxhash64(*[F.col(f"`{k}`") for k in on])
 
+def task_count(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-def frequent_keys(df: DataFrame, on: Sequence[str], share: float = FREQUENT_SHARE) -> DataFrame:
-    """Hashes of the keys that may hold at least ``share`` of the rows.
 
-    One pass and one mergeable sketch; the result has at most 1 / ``share`` rows. A
-    key listed without being frequent is split for nothing, which changes no result.
+def frequent_keys(df: DataFrame, key: Column, tasks: int) -> DataFrame:
+    """``key`` and ``salts`` of the keys with more rows than half a task's fair share.
+
+    ``salts`` is how many fair shares the key's rows make. The candidates come from a
+    one-pass sketch and are at most twice ``tasks``; their rows are counted exactly.
     """
-    sketch = df.select(_key_hash(on).alias("_key")).stat.freqItems(["_key"], share)
-    return sketch.select(F.explode("_key_freqItems").alias("_key"))
+    keyed = df.select(key.alias("key")).where(F.col("key").isNotNull())
+    share = min(0.5, max(_LEAST_SHARE, 0.5 / tasks))
+    sketch = keyed.stat.freqItems(["key"], share)
+    candidates = sketch.select(F.explode("key_freqItems").alias("key"))
+    counts = keyed.join(F.broadcast(candidates), "key").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    total = df.agg(F.greatest(F.count(F.lit(1)), F.lit(1)).alias("n")).scalar()
+    return counts.select("key", F.ceil(F.col("n") * tasks / total).cast("int").alias("salts"))
 
 
-def spread_salt(df: DataFrame, salts: int) -> Column:
+def spread_salt(df: DataFrame, salts: "int | Column") -> Column:
     """Salt that differs between tasks and between rows, and is the same on a retry.
 
     The task number spreads exact copies of one row, the row hash spreads rows that
     one task reads.
     """
-    hashed = [
-        F.col(f"`{f.name}`") for f in df.schema.fields if not holds_map(f.dataType)
-    ]
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *hashed), F.lit(salts)).cast("int")
+    hashed = [_key(f.name) for f in df.schema.fields if not holds_map(f.dataType)]
+    many = F.lit(salts) if isinstance(salts, int) else salts
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *hashed), many).cast("int")
 
 
 def salted_join(
@@ -96,47 +90,47 @@ def salted_join(
     right: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    salts: int = SALTS,
-    share: float = FREQUENT_SHARE,
+    tasks: int | None = None,
 ) -> DataFrame:
-    """Equi join that splits the left side's frequent keys over ``salts`` tasks each.
+    """Shuffled equi join that splits the left side's frequent keys.
 
-    Only rows of frequent keys are repeated on the right, ``salts`` times each. Left
-    rows with a NULL key cannot match and are spread as well instead of meeting in
-    one task.
+    A key that holds the rows of n of ``tasks`` tasks, by default the number of shuffle
+    partitions, is split over n. Only the right rows of frequent keys are repeated, as
+    often as their key is split. Left rows with a NULL key cannot match and are spread as
+    well instead of meeting in one task.
     """
-    if how not in ("left", "inner"):
-        raise ValueError(f"salted_join supports left and inner joins, got {how!r}")
-    on = list(on)
-    for key in on:
-        if left.schema[key].dataType != right.schema[key].dataType:
-            raise ValueError(
-                f"key {key!r} has type {left.schema[key].dataType} on the left and "
-                f"{right.schema[key].dataType} on the right"
-            )
-    frequent = F.broadcast(frequent_keys(left, on, share).withColumn("_frequent", F.lit(True)))
+    on = _checked(left, right, on, how)
+    tasks = tasks or task_count(left)
+    hashed, frequent, salts, salt, spread = (
+        _fresh(n, left, right) for n in ("key_hash", "frequent_key", "salts", "salt", "spread")
+    )
+    key = F.xxhash64(*_alike(left, right, on))
+    hot = F.broadcast(
+        frequent_keys(left, key, tasks).withColumnsRenamed({"key": frequent, "salts": salts})
+    )
     any_null = F.lit(False)
-    for key in on:
-        any_null = any_null | F.col(f"`{key}`").isNull()
+    for name in on:
+        any_null = any_null | _key(name).isNull()
 
-    spread = left.withColumns({"_key": _key_hash(on), "_spread": spread_salt(left, salts)})
     salted_left = (
-        spread.join(frequent, "_key", "left")
-        .withColumn("_salt", F.when(F.col("_frequent") | any_null, F.col("_spread")).otherwise(0))
-        .drop("_key", "_spread", "_frequent")
-    )
-    copies = F.when(F.col("_frequent"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
+        left.withColumns({hashed: key, spread: spread_salt(left, 1 << 30)})
+        .join(hot, F.col(hashed) == F.col(frequent), "left")
+        .withColumn(
+            salt,
+            F.when(any_null, F.col(spread) % tasks)
+            .when(F.col(salts).isNotNull(), F.col(spread) % F.col(salts)).otherwise(0),
+        )
+        .drop(hashed, spread, frequent, salts)
     )
+    copies = F.sequence(F.lit(0), F.coalesce(F.col(salts), F.lit(1)) - 1)
     salted_right = (
-        right.withColumn("_key", _key_hash(on))
-        .join(frequent, "_key", "left")
-        .withColumn("_salt", F.explode(copies))
-        .drop("_key", "_frequent")
+        right.withColumn(hashed, key)
+        .join(hot, F.col(hashed) == F.col(frequent), "left")
+        .withColumn(salt, F.explode(copies))
+        .drop(hashed, frequent, salts)
     )
-    joined = salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
-    right_columns = [c for c in right.columns if c not in on]
-    return joined.select(*[F.col(f"`{c}`") for c in [*left.columns, *right_columns]])
+    joined = salted_left.join(salted_right.hint("merge"), [*on, salt], how)
+    return joined.select(*_columns(left, right, on))
 
 
 def lookup_join(
@@ -144,19 +138,13 @@ def lookup_join(
     right: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    broadcast_limit: int = BROADCAST_LIMIT_BYTES,
-    salts: int = SALTS,
-    right_bytes: int | None = None,
+    shuffled: bool = False,
 ) -> DataFrame:
-    """Equi join that keeps the left column order: broadcast if it fits, else salted.
+    """Equi join that keeps the left column order.
 
-    ``right_bytes`` is an upper bound of the right side's size where the caller has
-    one; otherwise the side is measured here.
+    ``shuffled`` takes the salted path whatever the sizes. The rows are the same.
     """
-    on = list(on)
-    size = measured_bytes(right) if right_bytes is None else right_bytes
-    if size <= broadcast_limit:
-        joined = left.join(F.broadcast(right), on, how)
-        right_columns = [c for c in right.columns if c not in on]
-        return joined.select(*[F.col(f"`{c}`") for c in [*left.columns, *right_columns]])
-    return salted_join(left, right, on, how, salts)
+    on = _checked(left, right, on, how)
+    if shuffled:
+        return salted_join(left, right, on, how)
+    return left.join(right, on, how).select(*_columns(left, right, on))

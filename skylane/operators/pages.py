@@ -10,8 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skylane.functions import markup, places, records
-from skylane.operators.latest import first_per_key
-from skylane.operators.lookup import lookup_join, reduced_bytes
 
 CAMERA_FIELDS = ("CamId", "DisplayName", "Disctrict", "Publish", "CamStatus")
 
@@ -33,6 +31,13 @@ def child_links(pages: DataFrame, link_class: str = markup.SEARCH_RESULT_CLASS)
     )
 
 
+def city_links(pages: DataFrame, site: str, link_class: str = markup.SEARCH_RESULT_CLASS) -> DataFrame:
+    """Cities of browse pages: ``city``, the link's text, and ``url``, its absolute address."""
+    return child_links(pages, link_class).withColumnsRenamed({"text": "city"}).withColumn(
+        "url", F.concat(F.lit(site), F.col("href"))
+    ).drop("href")
+
+
 def weather_locations(city_pages: DataFrame, site: str) -> DataFrame:
     """District rows from city pages ``(city, url, html)``, each with its city's columns."""
     districts = child_links(city_pages).withColumnRenamed("text", "district")
@@ -68,24 +73,34 @@ def reading_rows(readings: DataFrame, column: str = "readings") -> DataFrame:
 def camera_records(feed: DataFrame) -> DataFrame:
     """Camera properties and coordinates from feed text ``(page_id, text)``.
 
-    A camera without a point keeps NULL coordinates.
+    The named fields are columns, everything a camera publishes is in the map
+    ``properties``. A camera without a point keeps NULL coordinates; of several points of a
+    camera the last counts. Points and properties stand in one text, so each is looked up
+    in its own row.
     """
-    lists = feed.select("page_id", records.property_lists("text").alias("_lists"))
-    listed = lists.select("page_id", F.explode_outer("_lists").alias("_json"))
+    scanned = feed.select(
+        "page_id", records.property_lists("text").alias("_lists"), records.point_entries("text").alias("_points")
+    )
+    located = F.transform("_points", lambda entry: F.struct(
+        records.camera_id(entry).alias("key"),
+        F.struct(
+            records.point_longitude(entry).alias("longitude"), records.point_latitude(entry).alias("latitude")
+        ).alias("value"),
+    ))
+    placed = scanned.select(
+        "page_id", "_lists",
+        records.entries_to_map(F.filter(located, lambda e: e["value"]["longitude"].isNotNull())).alias("_places"),
+    )
+    listed = placed.select("page_id", "_places", F.explode_outer("_lists").alias("_json"))
     maps = listed.filter(F.col("_json").isNotNull()).select(
-        "page_id", records.property_map("_json").alias("_map")
+        "page_id", "_places", records.property_map("_json").alias("properties")
+    )
+    cameras = maps.select(
+        "page_id", *[F.try_element_at("properties", F.lit(name)).alias(name) for name in CAMERA_FIELDS],
+        "properties", "_places",
     )
-    properties = maps.select(
-        "page_id", *[F.try_element_at("_map", F.lit(name)).alias(name) for name in CAMERA_FIELDS]
+    place = F.try_element_at("_places", F.col("CamId"))
+    return cameras.select(
+        "page_id", *CAMERA_FIELDS, place["longitude"].alias("longitude"), place["latitude"].alias("latitude"),
+        "properties",
     )
-    tables = feed.select("page_id", records.point_entries("text").alias("_entries"))
-    entries = tables.select("page_id", F.explode_outer("_entries").alias("_entry"))
-    points = entries.select(
-        "page_id",
-        records.camera_id("_entry").alias("CamId"),
-        records.point_longitude("_entry").alias("longitude"),
-        records.point_latitude("_entry").alias("latitude"),
-    ).filter(F.col("CamId").isNotNull() & F.col("longitude").isNotNull())
-    keys = ["page_id", "CamId"]
-    side = first_per_key(points, keys, ["longitude", "latitude"])
-    return lookup_join(properties, side, keys, right_bytes=reduced_bytes(points, keys))

@@ -71,9 +71,19 @@ def read_parts(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(root)
 
 
-def current_rows(parts: DataFrame, keys: Sequence[str], version: Sequence[str] = (BATCH,)) -> DataFrame:
-    """One row per key: that of the highest version."""
-    return latest_per_key(parts, keys, version)
+def later_parts(spark: SparkSession, root: str, after: int) -> DataFrame:
+    """Rows of the parts behind ``after``; the others' files aren't opened."""
+    return read_parts(spark, root).filter(F.col(BATCH) > after)
+
+
+def version_columns(parts: DataFrame) -> list[str]:
+    """What orders the rows of a key: their part, and within it their arrival where it is known."""
+    return [c for c in (BATCH, *schemas.ARRIVAL_COLUMNS) if c in parts.columns]
+
+
+def current_rows(parts: DataFrame, keys: Sequence[str], version: Sequence[str] | None = None) -> DataFrame:
+    """One row per key: that of the highest version, by default the last to arrive."""
+    return latest_per_key(parts, keys, version_columns(parts) if version is None else version)
 
 
 def union_replace(old: DataFrame, new: DataFrame, keys: Sequence[str], version: Sequence[str]) -> DataFrame:
@@ -92,7 +102,7 @@ def merge_parts(
     table_root: str,
     keys: Sequence[str],
     now: Column | None = None,
-    days: int = RETENTION_DAYS,
+    days: int | None = RETENTION_DAYS,
     date_column: str = "dt",
     previous: str | None = None,
     after: int = -1,
@@ -101,27 +111,32 @@ def merge_parts(
     """Merge parts into a new generation of the table, partitioned by month.
 
     ``previous`` is the last generation and ``after`` the last part it contains; only
-    later parts are read. Returns the last part merged, for the next call; without
-    later parts nothing is written and the previous generation stays the table. The
-    new generation goes to a folder of its own, so readers of the old one are
-    undisturbed and a failed merge is simply run again. While a stream is ``live`` its
-    newest part may be unfinished and is left for the next merge.
+    later parts are opened. Returns the last part merged, for the next call. Rows older
+    than ``days`` before ``now``, by default the current time, are left out; None keeps
+    all. Without later parts a new generation is written only if rows of the previous one
+    have expired, else the previous generation stays the table. The new generation goes to
+    a folder of its own, so readers of the old one are undisturbed and a failed merge is
+    simply run again. While a stream is ``live`` its newest part may be unfinished and is
+    left for the next merge.
 
     Rows are sorted by key inside each file so that scans by camera skip row groups.
     Whole expired months hold no surviving rows and get no directory.
     """
-    parts = read_parts(spark, parts_root)
+    now = F.current_timestamp() if now is None else now
+    parts = later_parts(spark, parts_root, after)
     newest = parts.agg(F.max(BATCH)).first()[0]
     through = after if newest is None else newest - int(live)
-    if through <= after:
-        return after
-    rows = parts.filter(F.col(BATCH).between(after + 1, through))
+    rows = parts.filter(F.col(BATCH) <= through)
     if previous is not None:
         merged = spark.read.parquet(previous).drop(MONTH).withColumn(BATCH, F.lit(after))
-        rows = rows.unionByName(merged)
+        if through <= after and (days is None or merged.count() == unexpired(merged, now, days).count()):
+            return after
+        rows = rows.unionByName(merged, allowMissingColumns=True)
+    elif through <= after:
+        return after
     rows = current_rows(rows, keys)
-    if now is not None:
+    if days is not None:
         rows = unexpired(rows, now, days)
     monthly = rows.drop(BATCH).withColumn(MONTH, F.date_format(date_column, "yyyyMM"))
     sinks.overwrite_partitions(monthly, table_root, [MONTH], list(keys))
-    return through
+    return max(through, after)

@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from skylane.functions import records, timeparts
+from skylane.functions import measures, records, timeparts
 
 MAX_RECORDS_PER_FILE = 2_000_000
 # JSON times keep microseconds; Spark's default would cut them to milliseconds.
@@ -37,19 +38,21 @@ def write_event_lake(
 
     Rebalancing by partition gives each hour few files, and adaptive execution
     splits an hour that outgrows one task. gzip cannot be split on read, so the
-    records per file are bounded.
+    records per file are bounded. The lines are made first, so a column of the frame
+    that is called like a partition column is in the line as well.
     """
     levels = timeparts.levels_down_to(level)
+    times = {"timestampFormat": WIRE_TIME + "XXX", "timestampNTZFormat": WIRE_TIME}
+    line = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), times)
+    lines = df.select(line.alias("value"), F.col(f"`{time_column}`").alias("at"))
     (
-        with_partitions(df, time_column, level, zone)
+        with_partitions(lines, "at", level, zone).drop("at")
         .hint("rebalance", *[F.col(name) for name in levels])
         .write.mode(mode)
         .partitionBy(*levels)
         .option("compression", "gzip")
         .option("maxRecordsPerFile", max_records)
-        .option("timestampFormat", WIRE_TIME + "XXX")
-        .option("timestampNTZFormat", WIRE_TIME)
-        .json(path)
+        .text(path)
     )
 
 
@@ -76,14 +79,27 @@ def overwrite_parquet(df: DataFrame, path: str) -> None:
 
 
 def write_tsv(df: DataFrame, path: str, header: bool = False) -> None:
-    df.write.mode("overwrite").option("sep", "\t").option("header", header).csv(path)
+    """Tab-separated text with one row a line, so that files can be split.
+
+    Tabs, line breaks and backslashes within a value are written with a backslash;
+    ``lake.read_tsv`` undoes it. NULL is an empty field, empty text an empty pair of quotes.
+    """
+    lines = df.select(*[
+        measures.escaped(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
+        for f in df.schema.fields
+    ])
+    lines.write.mode("overwrite").options(sep="\t", header=header, escape='"').csv(path)
 
 
 def create_table_if_absent(
     spark: SparkSession, name: str, columns: str, location: str | None = None
 ) -> None:
-    place = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{place}")
+    """Create a Parquet table; ``columns`` is a list of names and types."""
+    named = ", ".join(
+        f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in T.StructType.fromDDL(columns).fields
+    )
+    place = "" if location is None else " LOCATION '" + location.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({named}) USING parquet{place}")
 
 
 def truncate_and_load(df: DataFrame, table: str) -> None:

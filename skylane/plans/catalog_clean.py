@@ -280,5 +280,5 @@ def frame_message_roundtrip(spark, sf_dir):
     raw = derive.as_text_time(derive.raw_traffic(table(spark, sf_dir, "orders"), "o_orderkey"))
     message = records.to_message([c for c in raw.columns if c != "o_orderkey"])
     topic = raw.select("o_orderkey", message.cast("binary").alias("value"))
-    parsed = kafka.parse_value(topic, schemas.traffic_raw(), keep=("o_orderkey",))
+    parsed = kafka.parse_value(topic, schemas.traffic_raw(), keep=("o_orderkey",), fields=("total", "objects"))
     return parsed.select("o_orderkey", "total", F.array_size("objects").alias("objects"))

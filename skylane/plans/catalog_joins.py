@@ -35,9 +35,9 @@ WITH {WEATHER_CLEAN_SQL}, {last_reading_sql('readings', keys)}, {TRAFFIC_CLEAN_S
 SELECT {_TRAFFIC}, {_READINGS} FROM traffic t LEFT JOIN readings w ON {match}"""
 
 
-def _bucket_join(spark, sf_dir, bucket, limit=lookup.BROADCAST_LIMIT_BYTES):
+def _bucket_join(spark, sf_dir, bucket, shuffled=False):
     joined = enrich.join_bucket(
-        clean_traffic(spark, sf_dir), clean_weather(spark, sf_dir), bucket, broadcast_limit=limit
+        clean_traffic(spark, sf_dir), clean_weather(spark, sf_dir), bucket, shuffled=shuffled
     )
     return plain_types(flat_box(joined))
 
@@ -55,8 +55,8 @@ def join_bucket(spark, sf_dir):
 
 @query("join_bucket_salted", _bucket_sql("day"))
 def join_bucket_salted(spark, sf_dir):
-    """Day buckets through the shuffled, salted path that large weather sides take."""
-    return _bucket_join(spark, sf_dir, "day", limit=0)
+    """Day buckets through the shuffled, salted path."""
+    return _bucket_join(spark, sf_dir, "day", shuffled=True)
 
 
 @query("join_bucket_spellings", _bucket_sql("hour").replace("t.district, ", "'quan ' || t.district[6:] AS district, "))
@@ -129,7 +129,7 @@ SELECT l_orderkey, l_linenumber, l_partkey,
        COALESCE(CASE WHEN l_quantity >= 10 THEN l_linestatus END, p_name) AS district
 FROM lineitem LEFT JOIN part ON l_partkey = p_partkey""")
 def fill_from_table(spark, sf_dir):
-    """The filling side is a table that grows: broadcast only if it measures small."""
+    """The filling side is a table that grows."""
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey",
         F.when(F.col("l_quantity") >= 10, F.col("l_linestatus")).alias("district"),
@@ -193,7 +193,7 @@ def broadcast_lookup(spark, sf_dir):
 SELECT l_orderkey, l_linenumber, l_suppkey, s_name
 FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey""")
 def salted_lookup(spark, sf_dir):
-    """The lookup path beyond the broadcast limit."""
+    """The lookup path that always shuffles."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
     side = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
     return lookup.salted_join(lines, side, ["l_suppkey"])

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skylane import schemas, workspace
-from skylane.functions import markup, places, timeparts
+from skylane.functions import places, timeparts
 from skylane.operators import audit, dimensions, paging, serving, sinks
 from skylane.operators import pages as page_rows
 from skylane.operators.latest import latest_per_key
-from skylane.plans.catalog_clean import clean_weather, plain_types
-from skylane.plans.derive import WEATHER_CLEAN_SQL, table
+from skylane.plans.catalog_clean import plain_types
+from skylane.plans.derive import table
 from skylane.plans.registry import query
-from skylane.sources import kafka, lake
+from skylane.sources import kafka, lake, lookups
 
 SITE = "https://weather.example.com"
 
@@ -68,6 +71,18 @@ def page_limit(spark, sf_dir):
     return paging.page(orders, [F.col("o_orderdate").desc(), "o_orderkey"], page=3, limit=50)
 
 
+@query("page_after_key", """
+SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 50 OFFSET 100""")
+def page_after_key(spark, sf_dir):
+    """The third page, read on from the last key of the second."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    order, last = ["o_orderdate", "o_orderkey"], None
+    for _ in range(2):
+        page = paging.page_after(orders, order, last, 50, ["o_orderdate"]).tail(1)
+        last = (page[0]["o_orderdate"], page[0]["o_orderkey"]) if page else last
+    return paging.page_after(orders, order, last, 50, ["o_orderdate"])
+
+
 @query("page_all", "SELECT o_orderkey, o_orderdate FROM orders")
 def page_all(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
@@ -115,18 +130,88 @@ def dim_cam_job(spark, sf_dir):
     return dimensions.camera_dimension(lake.read_tsv(spark, path, schemas.CAMERA_COLUMNS))
 
 
-@query("tsv_roundtrip", """
+@query("tsv_roundtrip", r"""
 SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name,
-       CASE WHEN c_nationkey % 3 <> 0 THEN c_mktsegment END AS segment
+       CASE c_custkey % 6 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'two' || chr(10) || 'lines' || chr(13)
+         WHEN 3 THEN chr(9) || c_mktsegment WHEN 4 THEN '"say" \n, "not" \\' ELSE c_mktsegment || '\' END AS segment
 FROM customer""")
 def tsv_roundtrip(spark, sf_dir):
+    """Line breaks, tabs, quotes, backslashes, and empty text beside NULL."""
+    kind, segment = F.col("c_custkey") % 6, F.col("c_mktsegment")
+    odd = (
+        F.when(kind == 1, F.lit("")).when(kind == 2, F.lit("two\nlines\r"))
+        .when(kind == 3, F.concat(F.lit("\t"), segment)).when(kind == 4, F.lit('"say" \\n, "not" \\\\'))
+        .when(kind == 5, F.concat(segment, F.lit("\\")))
+    )
     path = workspace.new_dir(spark, "tsv")
-    sinks.write_tsv(table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_name", F.when(F.col("c_nationkey") % 3 != 0, F.col("c_mktsegment"))
-    ), path)
+    sinks.write_tsv(table(spark, sf_dir, "customer").select("c_custkey", "c_name", odd.alias("odd")), path)
     return lake.read_tsv(spark, path, ["id", "name", "segment"])
 
 
+@query("camera_district_file", """
+SELECT CAST(c_custkey AS VARCHAR) AS id, c_mktsegment AS district FROM customer""")
+def camera_district_file(spark, sf_dir):
+    path = workspace.new_dir(spark, "districts")
+    table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("district")
+    ).write.option("header", True).csv(path)
+    return lookups.camera_districts(spark, path)
+
+
+@query("repair_from_file", """
+SELECT CAST(s_suppkey AS VARCHAR) AS id, CASE WHEN s_acctbal > 0 THEN 'Quận ' || s_nationkey ELSE s_name END AS district
+FROM supplier""")
+def repair_from_file(spark, sf_dir):
+    """District repairs read from a file; of two for a camera the lower priority counts."""
+    supplier = table(spark, sf_dir, "supplier")
+    key, path = F.col("s_suppkey").cast("string").alias("id"), workspace.new_dir(spark, "repairs")
+    listed = supplier.filter("s_acctbal > 0")
+    first = listed.select(key, F.concat(F.lit("Quận "), F.col("s_nationkey")).alias("district"), F.lit(1).alias("priority"))
+    second = listed.select(key, F.lit("never").alias("district"), F.lit(2).alias("priority"))
+    first.unionByName(second).write.option("header", True).csv(path)
+    cameras = supplier.select(key, F.col("s_name").alias("district"))
+    return dimensions.repair_by_mapping(cameras, lookups.district_repairs(spark, path), "id", "district")
+
+
+@query("image_files", """
+SELECT page_id % 32 AS folder, CAST(sum(octet_length(encode(html)) + 1) AS BIGINT) AS bytes FROM pages GROUP BY 1""")
+def image_files(spark, sf_dir):
+    """Files of 32 folders, written from a table, read as bytes."""
+    path = workspace.new_dir(spark, "images")
+    pages = table(spark, sf_dir, "pages").select((F.col("page_id") % 32).alias("folder"), F.col("html").alias("value"))
+    pages.repartition("folder").write.partitionBy("folder").text(path)
+    images = lake.read_images(spark, path, "*.txt")
+    folder = F.regexp_extract("path", r"folder=(\d+)/", 1).cast("bigint")
+    return images.groupBy(folder.alias("folder")).agg(F.sum(F.length("content")).alias("bytes"))
+
+
+@query("table_load", "SELECT c_custkey, c_name FROM customer")
+def table_load(spark, sf_dir):
+    """A table created once, loaded, emptied and loaded again."""
+    name, place = f"skylane_{uuid.uuid4().hex}", workspace.new_dir(spark, "table")
+    customer = table(spark, sf_dir, "customer").select("c_name", "c_custkey")
+    for rows in (customer.filter("c_custkey % 2 = 0"), customer):
+        sinks.create_table_if_absent(spark, name, "c_custkey bigint, c_name string", place)
+        sinks.truncate_and_load(rows, name)
+    return spark.table(name)
+
+
+@query("sorted_files", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year, count(*) AS n, 0::BIGINT AS misplaced FROM orders GROUP BY 1""")
+def sorted_files(spark, sf_dir):
+    """Rows that stand before a smaller key in their file: none."""
+    path = workspace.new_dir(spark, "sorted")
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.year("o_orderdate").alias("order_year"))
+    sinks.overwrite_partitions(orders, path, ["order_year"], ["o_custkey", "o_orderkey"])
+    placed = spark.read.parquet(path).select("*", "_metadata.file_path", "_metadata.row_index")
+    in_file = Window.partitionBy("file_path").orderBy("row_index")
+    key = F.struct("o_custkey", "o_orderkey")
+    checked = placed.withColumn("misplaced", (F.lag(key).over(in_file) > key).cast("int"))
+    return checked.groupBy("order_year").agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("misplaced"), F.lit(0)).cast("long").alias("misplaced")
+    )
+
+
 @query("csv_header_map", """
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_mktsegment FROM customer""")
 def csv_header_map(spark, sf_dir):
@@ -187,6 +272,25 @@ def partition_path_counts(spark, sf_dir):
     return audit.partition_counts(table(spark, sf_dir, "events"), "ts")
 
 
+@query("object_path_zone", """
+SELECT event_id, 'bucket/raw/raw_images/traffic/' || user_id || '/' || strftime(ts + INTERVAL 7 HOUR, '%Y-%m-%d/%H-%M-%S')
+       || '.jpg' AS img, strftime(ts + INTERVAL 7 HOUR, '%Y-%m-%dT%H:%M:%S') || '+07:00' AS "timestamp",
+       CAST(hour(ts + INTERVAL 7 HOUR) AS INTEGER) AS hour
+FROM events""")
+def object_path_zone(spark, sf_dir):
+    """Image path, event text and hour of an instant in the cameras' zone, whatever the session's."""
+    zone = "Asia/Ho_Chi_Minh"
+    # The table's times are wall clock in UTC.
+    instant = F.make_timestamp(
+        F.year("ts"), F.month("ts"), F.day("ts"), F.hour("ts"), F.minute("ts"),
+        F.date_format("ts", "ss.SSSSSS").cast("decimal(8,6)"), F.lit("UTC"),
+    )
+    return table(spark, sf_dir, "events").select(
+        "event_id", timeparts.image_path("bucket", F.col("user_id").cast("string"), instant, zone).alias("img"),
+        timeparts.iso_text(instant, zone).alias("timestamp"), timeparts.calendar_parts(instant, zone)["hour"].alias("hour"),
+    )
+
+
 @query("object_path", """
 SELECT event_id, 'bucket/raw/raw_images/traffic/' || user_id || '/' || strftime(ts, '%Y-%m-%d/%H-%M-%S')
        || '.jpg' AS img
@@ -331,22 +435,43 @@ def union_replace(spark, sf_dir):
     return serving.union_replace(old, new, ["user_id", "event_type"], ["version"])
 
 
-@query("serving_merge", f"""
-WITH {WEATHER_CLEAN_SQL}
-SELECT district, ts, CAST(dt AS VARCHAR) AS dt, temp_c, status, 1 AS loads,
-       CAST(strftime(dt, '%Y%m') AS INTEGER) AS yyyymm
-FROM weather WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 7 DAY
-QUALIFY row_number() OVER (PARTITION BY district, ts
-                           ORDER BY dt DESC, temp_c DESC NULLS LAST, status DESC) = 1""")
+_LOADS = ("event_id", 0, "TRUE"), ("event_id + 1000000000", 0, "event_id % 3 = 0"), ("event_id + 2000000000", 1, "event_id % 2 = 0")
+
+
+@query("serving_merge", "WITH loads AS (" + " UNION ALL ".join(f"""
+SELECT 'cam' || (event_id % 50) AS cam_id, date_trunc('second', ts) AS ts, CAST(event_id % 3 AS INTEGER) AS object_pos,
+       {place} AS place, {part} AS part, CAST((event_id + {i}) % 100 AS SMALLINT) AS temp_c FROM events WHERE {chosen}"""
+    for i, (place, part, chosen) in enumerate(_LOADS)) + """)
+SELECT cam_id, ts, object_pos, temp_c, CAST(strftime(ts, '%Y%m') AS INTEGER) AS yyyymm FROM loads
+WHERE ts > (SELECT max(date_trunc('second', ts)) FROM events) - INTERVAL 4 DAY
+QUALIFY row_number() OVER (PARTITION BY cam_id, ts, object_pos ORDER BY part DESC, place DESC) = 1""")
 def serving_merge(spark, sf_dir):
-    """Two loads of the same rows as two parts, merged by key into monthly partitions."""
-    weather = clean_weather(spark, sf_dir).select("district", "ts", "dt", "temp_c", "status")
-    parts, merged = workspace.new_dir(spark, "parts"), workspace.new_dir(spark, "merged")
-    serving.append_part(weather.withColumn("loads", F.lit(0)), parts, 0)
-    serving.append_part(weather.withColumn("loads", F.lit(1)), parts, 1)
-    now = weather.agg(F.max("ts").alias("now")).scalar()
-    serving.merge_parts(spark, parts, merged, ["district", "ts"], now)
-    return plain_types(spark.read.parquet(merged))
+    """Messages into two parts, with updates within a part, merged by the default key.
+
+    Three days later there is no new part, and the merge only lets rows expire.
+    """
+    e = F.col("event_id")
+    events = table(spark, sf_dir, "events").withColumn("ts", F.date_trunc("second", "ts").cast("timestamp"))
+    parts, first, second = (workspace.new_dir(spark, n) for n in ("parts", "first", "second"))
+    for part in (0, 1):
+        batch = None
+        for i, (place, own, chosen) in enumerate(_LOADS):
+            if own == part:
+                rows = events.filter(F.expr(chosen)).select(
+                    F.concat(F.lit("cam"), (e % 50).cast("string")).alias("cam_id"), "ts", F.to_date("ts").alias("dt"),
+                    (e % 3).cast("int").alias("object_pos"), ((e + i) % 100).alias("temp_c"), F.expr(place).alias("offset"),
+                )
+                rows = rows.select(
+                    F.to_json(F.struct("cam_id", "ts", "dt", "object_pos", "temp_c")).cast("binary").alias("value"),
+                    F.timestamp_seconds(F.lit(0)).alias("timestamp"), F.lit(0).alias("partition"), "offset",
+                )
+                batch = rows if batch is None else batch.unionByName(rows)
+        serving.append_part(kafka.parse_serving(batch), parts, part)
+    now = events.agg(F.max("ts").alias("now")).scalar()
+    merged = serving.merge_parts(spark, parts, first, serving.DEFAULT_KEY, now)
+    later = now + F.make_dt_interval(days=F.lit(3))
+    serving.merge_parts(spark, parts, second, serving.DEFAULT_KEY, later, previous=first, after=merged)
+    return plain_types(spark.read.parquet(second).select("cam_id", "ts", "object_pos", "temp_c", serving.MONTH))
 
 
 @query("city_locations", f"""
@@ -358,10 +483,10 @@ def city_locations(spark, sf_dir):
     """District links of city pages, with each city's columns and canonical addresses."""
     key = F.col("c_custkey").cast("string")
     html = F.concat(
-        F.lit('<a class="search-result extra" href="/x?key=1">no</a>\n<a class="'),
-        F.lit(markup.SEARCH_RESULT_CLASS),
-        F.lit('" href="/web-api/redirect?key='), key, F.lit('&amp;target=">Quận '),
-        F.col("c_nationkey").cast("string"), F.lit("</a>"),
+        F.lit('<a class="search-result extra" href="/x?key=1">no</a>\n'),
+        F.when(F.col("c_custkey") % 2 == 0, F.lit('<a data-href="?key=0" class="search-result" href="/web-api/redirect?key='))
+        .otherwise(F.lit("<a class=search-result href=\"/web-api/redirect?key=")),
+        key, F.lit('&amp;target=">Quận '), F.col("c_nationkey").cast("string"), F.lit("</a>"),
     )
     pages = table(spark, sf_dir, "customer").select(
         F.col("c_mktsegment").alias("city"), F.concat(F.lit("city/"), key).alias("url"), html.alias("html")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skylane import schemas, workspace
 from skylane.functions import records
@@ -67,9 +68,10 @@ def stream_clean_traffic(spark, sf_dir):
     return plain_types(flat_box(_drained(spark, "traffic-clean", clean.clean_traffic(stream))))
 
 
-# One event far behind the last real one on both streams. It moves the watermark past
-# every bucket, which is what lets the outer join release unmatched rows.
-_CLOSING = "timestamp_ntz'2030-01-01 00:00:00'"
+# One event a day behind the last real one on both streams. It moves the watermark past
+# every bucket, which is what lets the outer join release unmatched rows. The row is told
+# by its camera, not by its time.
+_CLOSING = "closing row"
 
 
 @query("stream_bucket_join", f"""
@@ -80,9 +82,10 @@ FROM traffic t LEFT JOIN readings w
 def stream_bucket_join(spark, sf_dir):
     raw_traffic = derive.raw_traffic(table(spark, sf_dir, "orders"))
     raw_weather = derive.raw_weather(table(spark, sf_dir, "events"))
-    closing = F.expr(_CLOSING)
+    last = F.greatest(*[raw.agg(F.max("timestamp")).scalar() for raw in (raw_traffic, raw_weather)])
+    closing = last + F.make_dt_interval(days=F.lit(1))
     traffic = clean.clean_traffic(raw_traffic.unionByName(
-        raw_traffic.limit(1).withColumn("timestamp", closing)
+        raw_traffic.limit(1).withColumns({"timestamp": closing, "cam_id": F.lit(_CLOSING)})
     ))
     weather = clean.clean_weather(raw_weather.unionByName(
         raw_weather.limit(1).withColumn("timestamp", closing)
@@ -90,7 +93,7 @@ def stream_bucket_join(spark, sf_dir):
     joined = queries.join_bucket_stream(
         _as_stream(spark, "traffic-clean", traffic), _as_stream(spark, "weather-clean", weather)
     )
-    rows = _drained(spark, "joined", joined).filter(F.col("ts") < closing.cast("timestamp"))
+    rows = _drained(spark, "joined", joined).filter(F.col("cam_id") != _CLOSING)
     return plain_types(flat_box(rows))
 
 
@@ -127,23 +130,28 @@ def stream_static_lookup(spark, sf_dir):
 
 
 @query("sync_events_job", """
-SELECT event_id, ts, user_id, event_type, value, props FROM events""")
+SELECT event_id, ts, user_id, event_type, value, props, CAST(100 + event_id % 24 AS INTEGER) AS hour FROM events""")
 def sync_events_job(spark, sf_dir):
-    """Messages through the lake sync, and the lake read back."""
+    """Messages through the lake sync, and the lake read back.
+
+    The time is in a field of another name, and the events have an ``hour`` of their own.
+    """
     events = table(spark, sf_dir, "events")
     text_time = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    message = F.to_json(F.struct(*events.columns, text_time.alias("timestamp")),
+    hour = (100 + F.col("event_id") % 24).cast("int")
+    message = F.to_json(F.struct(*events.columns, hour.alias("hour"), text_time.alias("happened_at")),
                         {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
     topic = events.select(message.cast("binary").alias("value"))
     root = workspace.new_dir(spark, "lake")
     stream = _as_stream(spark, "topic", topic)
-    queries.sync_lake(stream, root, workspace.new_dir(spark, "lake-checkpoint"), "day").awaitTermination()
-    return lake.read_events(spark, root, EVENT_SCHEMA)
+    mark = workspace.new_dir(spark, "lake-checkpoint")
+    queries.sync_lake(stream, root, mark, time_field="happened_at").awaitTermination()
+    return lake.read_events(spark, root, T.StructType([*EVENT_SCHEMA.fields, T.StructField("hour", T.IntegerType())]))
 
 
 def _stub_predictor():
     """Stands for a model: everything it reports follows from the number of bytes."""
-    def predict(blob: bytes):
+    def one(blob: bytes):
         n = len(blob)
         if n % 10 == 0:
             return None
@@ -152,6 +160,9 @@ def _stub_predictor():
             found.append((2, 0.625, (1.0, 2.0, 3.0, 4.0)))
         return (n % 1080 + 1, n % 1920 + 1), found
 
+    def predict(blobs: list[bytes]):
+        return [one(blob) for blob in blobs]
+
     return predict
 
 

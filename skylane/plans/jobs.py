@@ -113,10 +113,11 @@ def ingest_dim_weather(city_pages: DataFrame, site: str, tsv_path: str) -> None:
 
 def sync_events(
     messages: DataFrame, base: str, topic: str, checkpoint: str, zone: str | None = None,
-    level: str = "hour",
+    level: str = "hour", time_field: str = "timestamp",
 ) -> StreamingQuery:
     """Drain a topic into the raw zone. Run it on a schedule; offsets are in the checkpoint."""
-    return queries.sync_lake(messages, raw_event_root(base, topic), checkpoint, level, zone)
+    root = raw_event_root(base, topic)
+    return queries.sync_lake(messages, root, checkpoint, level, zone, time_field=time_field)
 
 
 def publish_clean_weather(
@@ -128,6 +129,25 @@ def publish_clean_weather(
     return queries.to_kafka(clean.clean_weather(raw, zone), servers, sink, checkpoint).start()
 
 
+def joined_stream(traffic: DataFrame, weather: DataFrame, zone: str | None = None, salts: int = 1) -> DataFrame:
+    """Raw traffic and raw weather streams as rows of the serving topic."""
+    return queries.join_bucket_stream(
+        clean.clean_traffic(traffic, zone, with_position=True), clean.clean_weather(weather, zone), salts=salts
+    )
+
+
+def publish_joined(
+    spark: SparkSession, servers: str, traffic_topic: str, weather_topic: str, sink: str, checkpoint: str,
+    starting: str | None = "latest", zone: str | None = None, salts: int = 1,
+) -> StreamingQuery:
+    """Raw traffic and weather topics, joined, to the serving topic, continuously, by camera."""
+    def topic(name: str, schema: T.StructType) -> DataFrame:
+        return kafka.read_stream(spark, kafka.stream_options(servers, name, starting), schema)
+
+    joined = joined_stream(topic(traffic_topic, schemas.traffic_raw()), topic(weather_topic, schemas.WEATHER_RAW), zone, salts)
+    return queries.to_kafka(joined, servers, sink, checkpoint, "cam_id").start()
+
+
 def serve_messages(messages: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
     """Serving messages into parts of the serving table: typed, in range, without NULLs."""
     return queries.upsert_parts(kafka.parse_serving(messages), root, checkpoint)
@@ -138,17 +158,39 @@ def repair_district(dim: DataFrame, mapping: DataFrame) -> DataFrame:
     return dimensions.repair_by_mapping(dim, mapping, "id", "district")
 
 
-def weather_messages(pages: DataFrame, published: "dt.datetime | None" = None) -> DataFrame:
+def _weather_cards(pages: DataFrame) -> DataFrame:
+    with_card = pages.select("district", "html").filter(F.contains("html", F.lit(markup.CARD_CLASS)))
+    return page_rows.weather_readings(with_card).filter(F.col("readings").isNotNull())
+
+
+def weather_payloads(
+    pages: DataFrame, published: "dt.datetime | None" = None, zone: str | None = None
+) -> DataFrame:
+    """Weather pages ``(district, html)`` as messages ``key, value`` with every reading of the card."""
+    at = F.current_timestamp() if published is None else F.lit(published)
+    cards = _weather_cards(pages)
+    plain = F.map_from_arrays(F.map_keys("readings"), markup.unescape_all(F.map_values("readings")))
+    own = ("timestamp", "district")
+    whole = F.map_concat(
+        F.map_filter("plain", lambda name, _: ~name.isin(*own)),
+        F.create_map(F.lit("timestamp"), timeparts.iso_text(at, zone), F.lit("district"), F.col("district")),
+    )
+    return cards.select("district", plain.alias("plain")).select(F.col("district").alias("key"), F.to_json(whole).alias("value"))
+
+
+def weather_messages(
+    pages: DataFrame, published: "dt.datetime | None" = None, zone: str | None = None
+) -> DataFrame:
     """Weather pages ``(district, html)`` as raw weather events.
 
-    Readings the event schema does not name are left out, missing ones are NULL.
+    The event schema names the readings its consumers use, missing ones are NULL;
+    :func:`weather_payloads` has all of them.
     """
     at = F.current_timestamp() if published is None else F.lit(published)
-    with_card = pages.select("district", "html").filter(F.contains("html", F.lit(markup.CARD_OPEN)))
-    parsed = page_rows.weather_readings(with_card)
+    parsed = _weather_cards(pages)
     names = [n for n in schemas.WEATHER_TEXT_FIELDS if n != "timestamp"]
     return parsed.select(
         *[markup.unescape(F.try_element_at("readings", F.lit(n))).alias(n) for n in names],
-        timeparts.iso_text(at).alias("timestamp"),
+        timeparts.iso_text(at, zone).alias("timestamp"),
         "district",
     )

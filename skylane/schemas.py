@@ -97,8 +97,12 @@ SERVING_COLUMNS = [
     ("wind_kmph", "smallint", UINT8),
     ("wind_direction", "string", None),
     ("wind_gust_kmph", "smallint", UINT8),
+    ("object_pos", "int", None),
 ]
 
+# Where a message stood in its topic; of rows of one key the last to arrive counts.
+ARRIVAL_COLUMNS = ["arrived_at", "arrived_partition", "arrived_offset"]
+
 
 def serving_wire_schema() -> T.StructType:
     """Schema for parsing serving messages.

@@ -66,9 +66,16 @@ def read_batch(spark: SparkSession, options: dict[str, str], schema: T.StructTyp
 
 
 def parse_value(
-    df: DataFrame, schema: T.StructType, keep: tuple[str, ...] = (), strict: bool = False
+    df: DataFrame, schema: T.StructType, keep: tuple[str, ...] = (), strict: bool = False,
+    fields: tuple[str, ...] | None = None,
 ) -> DataFrame:
-    """Message bytes as columns; a malformed message gives a row of NULLs, or fails if ``strict``."""
+    """Message bytes as columns; a malformed message gives a row of NULLs, or fails if ``strict``.
+
+    Only ``fields`` are parsed where they are named, since the JSON of whole messages costs
+    more than what is read of it.
+    """
+    if fields is not None:
+        schema = T.StructType([schema[name] for name in fields])
     parsed = records.parse_json(F.col("value").cast("string"), schema, strict=strict)
     return df.select(*keep, parsed.alias("data")).select(*keep, "data.*")
 
@@ -84,8 +91,15 @@ def split_malformed(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, Dat
 
 
 def parse_serving(df: DataFrame) -> DataFrame:
-    """Messages of the serving topic, typed, without NULLs."""
-    parsed = parse_value(df, schemas.serving_wire_schema())
+    """Messages of the serving topic, typed, without NULLs, with their place in the topic.
+
+    Columns ``timestamp``, ``partition`` and ``offset`` of the source are kept as the arrival.
+    """
+    arrival = dict(zip(("timestamp", "partition", "offset"), schemas.ARRIVAL_COLUMNS))
+    known = {source: name for source, name in arrival.items() if source in df.columns}
+    wire = schemas.serving_wire_schema()
+    placed = df.withColumnsRenamed(known)
+    parsed = parse_value(placed, wire, tuple(known.values()))
     return serving.serving_defaults(serving.serving_types(parsed))
 
 

@@ -6,8 +6,11 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skylane.functions import measures
+
 PARTITION_COLUMNS = ("year", "month", "day", "hour")
 
 
@@ -29,22 +32,44 @@ def run_date(value: "str | dt.date | None", interval_start: dt.date | None = Non
 
 def read_events(
     spark: SparkSession, root: str, schema: T.StructType,
-    day: dt.date | None = None, year: int | None = None,
+    day: dt.date | None = None, year: int | None = None, quarantined: bool = False,
 ) -> DataFrame:
     """JSON-lines events of one day, one year or the whole root.
 
-    The root is read and filtered by partition. Naming a day's directory instead would
-    bypass the commit log a streaming sink keeps in the root, and with it the guarantee
-    that every event counts once. Partition columns are dropped: they are event time
-    over again.
+    A day of a root without a streaming sink's commit log is read from its own directory.
+    With such a log the root is read and filtered by partition: naming the directory would
+    bypass the log, and with it the guarantee that every event counts once. Partition
+    columns are dropped: they are event time over again. What could not be placed in time
+    is left out unless ``quarantined`` asks for it.
     """
-    df = spark.read.schema(schema).json(root)
-    partitions = [c for c in PARTITION_COLUMNS if c in df.columns and c not in schema.names]
-    if day is not None:
-        df = df.filter((df.year == day.year) & (df.month == day.month) & (df.day == day.day))
-    elif year is not None:
-        df = df.filter(df.year == year)
-    return df.drop(*partitions)
+    reader, place = spark.read, root
+    if day is not None and not exists(spark, f"{root}/_spark_metadata"):
+        place = f"{root}/year={day.year}/month={day.month:02d}/day={day.day:02d}"
+        if not exists(spark, place):
+            return spark.createDataFrame([], schema)
+        reader = reader.option("basePath", root)
+    if set(schema.names) & set(PARTITION_COLUMNS):
+        # A field called like a partition column would get the directory's value.
+        lines = reader.text(place)
+        df, fields = lines, F.from_json("value", schema)
+    else:
+        df, fields = reader.schema(schema).json(place), None
+    if "year" in df.columns:
+        if day is not None:
+            df = df.filter((df.year == day.year) & (df.month == day.month) & (df.day == day.day))
+        elif year is not None:
+            df = df.filter(df.year == year)
+        elif not quarantined:
+            df = df.filter(df.year.isNotNull())
+    if fields is not None:
+        return df.select(fields.alias("data")).select("data.*")
+    return df.select(*[f"`{name}`" for name in schema.names])
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, wherever the path's file system is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
 def read_staged(spark: SparkSession, root: str, day: dt.date | None = None) -> DataFrame:
@@ -58,12 +83,15 @@ def read_staged(spark: SparkSession, root: str, day: dt.date | None = None) -> D
 def read_tsv(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
     """Headerless tab-separated text; columns are named by position, empty is NULL."""
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return spark.read.schema(schema).option("sep", "\t").option("header", False).csv(path)
+    fields = spark.read.schema(schema).options(
+        sep="\t", header=False, escape='"', nullValue="\\N", emptyValue=""
+    ).csv(path)
+    return fields.select(*[measures.unescaped(F.col(f"`{n}`")).alias(n) for n in names])
 
 
 def read_mapping(spark: SparkSession, path: str, key: str, value: str) -> DataFrame:
-    """Two columns of a CSV file with a header."""
-    return spark.read.option("header", True).csv(path).select(key, value)
+    """Two columns of a CSV file with a header; quoted fields may hold line breaks."""
+    return spark.read.options(header=True, multiLine=True, escape='"').csv(path).select(key, value)
 
 
 def read_images(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:

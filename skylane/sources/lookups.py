@@ -1,7 +1,7 @@
 """Constant lookups of the feeds as small relations.
 
-The long camera-to-district list and the district repairs change with the city's
-camera stock; they are read from CSV files the caller names.
+The long camera-to-district list, the district repairs and the addresses of weather pages
+change with the city; they are read from CSV files the caller names.
 """
 
 from __future__ import annotations
@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylane.functions import places
-
 # Cameras read in every round, by district.
 ROUND_CAMERAS = {
     "Bình Chánh": ["5ad06a0d98d8fc001102e27b", "662a87df1afb9c00172d2522", "6792f03d8c5ed4001b27f378"],
@@ -54,16 +52,6 @@ TOP_CAMERAS = {
     "Tân Phú": "6623f1046f998a001b2527db",
 }
 
-# Location number of a district on the weather site.
-WEATHER_NUMBERS = {
-    "Bình Chánh": "429728", "Bình Tân": "3554446", "Bình Thạnh": "1696411", "Gò Vấp": "425682",
-    "Hóc Môn": "425119", "Nhà Bè": "353978", "Phú Nhuận": "418146", "Quận 1": "3554433",
-    "Quận 10": "3554442", "Quận 11": "3554443", "Quận 12": "3554444", "Quận 2": "3554434",
-    "Quận 3": "3554435", "Quận 4": "3554436", "Quận 5": "3554437", "Quận 6": "3554438",
-    "Quận 7": "3554439", "Quận 9": "3554441", "Tân Bình": "416036", "Tân Phú": "3554445",
-    "Thủ Đức": "414495",
-}
-
 
 def round_cameras(spark: SparkSession) -> DataFrame:
     """``district, cam_id`` of every camera read in a round."""
@@ -77,11 +65,9 @@ def top_cameras(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(TOP_CAMERAS.items()), "district string, cam_id string")
 
 
-def weather_pages(spark: SparkSession, site: str) -> DataFrame:
-    """``district, url`` of every weather page; the address follows from name and number."""
-    numbers = spark.createDataFrame(list(WEATHER_NUMBERS.items()), "district string, number string")
-    slug = places.location_key("district", fold_unaccented=False)
-    return numbers.select("district", places.current_weather_url(site, slug, "number").alias("url"))
+def weather_pages(spark: SparkSession, path: str) -> DataFrame:
+    """``district, url`` of every weather page, from a CSV file with a header."""
+    return spark.read.schema("district string, url string").option("header", True).csv(path)
 
 
 def camera_districts(spark: SparkSession, path: str) -> DataFrame:

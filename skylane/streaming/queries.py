@@ -20,7 +20,8 @@ from skylane.operators import serving, sinks
 from skylane.operators.lookup import lookup_join, spread_salt
 from skylane.sources import kafka
 
-TIME_SCHEMA = T.StructType([T.StructField("timestamp", T.StringType())])
+# A file gets at most so many messages of a partition; gzip can't be split on read.
+MAX_RECORDS_PER_FILE = sinks.MAX_RECORDS_PER_FILE
 
 
 def file_stream(
@@ -78,26 +79,34 @@ def sync_lake(
     level: str = "hour",
     zone: str | None = None,
     drain: bool = True,
+    time_field: str = "timestamp",
+    writers: int = 1,
+    max_records: int = MAX_RECORDS_PER_FILE,
 ) -> StreamingQuery:
     """Messages into the event lake as gzipped JSON lines, by the event's own time.
 
-    The text is stored as it came, so fields nobody declared survive. Late events go
-    to their own hour. Malformed messages and those without a readable time go to the
-    NULL partition, which no dated read touches.
+    ``time_field`` names the field that holds it. The text is stored as it came, so fields
+    nobody declared survive, whatever they are called. Late events go to their own hour.
+    Malformed messages and those without a readable time go to the NULL partition, which
+    reads leave out. Each partition of a batch is written by at most ``writers`` tasks,
+    in files of at most ``max_records`` messages.
     """
     text = F.col("value").cast("string")
-    parsed = records.parse_json(text, TIME_SCHEMA, kafka.CORRUPT)
+    schema = T.StructType([T.StructField(time_field, T.StringType())])
+    parsed = records.parse_json(text, schema, kafka.CORRUPT)
     located = messages.select(
         F.regexp_replace(text, r"[\r\n]+", " ").alias("value"), parsed.alias("data")
     ).select(
         "value",
         F.when(
-            F.col("data").getField(kafka.CORRUPT).isNull(), timeparts.to_timestamp(F.col("data.timestamp"))
+            F.col("data").getField(kafka.CORRUPT).isNull(), timeparts.to_timestamp(F.col("data").getField(time_field))
         ).alias("_ts"),
     )
     placed = sinks.with_partitions(located, "_ts", level, zone).drop("_ts")
-    writer = _append(placed, checkpoint, drain).format("text").option("compression", "gzip")
-    return writer.partitionBy(*timeparts.levels_down_to(level)).start(path)
+    levels = timeparts.levels_down_to(level)
+    gathered = placed.repartition(*levels, F.pmod(F.xxhash64("value"), F.lit(writers)))
+    writer = _append(gathered, checkpoint, drain).format("text").option("compression", "gzip")
+    return writer.option("maxRecordsPerFile", max_records).partitionBy(*levels).start(path)
 
 
 def quarantined(spark: SparkSession, path: str) -> DataFrame:
@@ -110,14 +119,14 @@ def join_bucket_stream(
     weather: DataFrame,
     delay: str = "2 minutes",
     bucket: str = "1 minute",
-    salts: int = 8,
+    salts: int = 1,
 ) -> DataFrame:
     """Traffic stream left join the last weather reading of the same place and bucket.
 
     Weather is aggregated to one row per bucket, which leaves the state of that side
-    as small as the number of open buckets. That side is repeated ``salts`` times and
-    traffic is spread over the repeats, so a busy bucket's state is held by several
-    tasks. Rows come out once the watermarks of both streams have passed the bucket.
+    as small as the number of open buckets. With more than one of ``salts`` that side is
+    repeated as often and traffic is spread over the repeats, so that a busy bucket's state
+    is held by several tasks. Rows come out once the watermarks of both streams have passed the bucket.
     """
     shared = {"district", "dt", "hour", "minute", "ts"}
     readings = [c for c in weather.columns if c not in shared]
@@ -167,8 +176,7 @@ def lookup_static(
 ) -> StreamingQuery:
     """Stream left join a lookup table that is read anew for every micro-batch.
 
-    The lookup's size is measured each time, since it may have grown since the query
-    started. Batch ``n`` lands in ``batch_id=n``.
+    The lookup may have grown since the query started; each batch is planned anew. Batch ``n`` lands in ``batch_id=n``.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         lookup_join(batch, read_lookup(), on).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")

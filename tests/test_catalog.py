@@ -4,7 +4,9 @@ import __spark_entry__ as entry
 import pytest
 from compare import connect, difference
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+from skylane.plans import catalog
+
+QUERIES, SQL = catalog.queries(), catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -25,3 +27,7 @@ def test_entry_has_rows(spark):
     flagship = entry.entry(spark)
     assert flagship.filter("temp_c is not null").limit(1).count() == 1
     assert flagship.count() > 0
+
+
+def test_entry_has_all_queries():
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())

@@ -109,7 +109,7 @@ def skewed(spark):
 def test_salted_join_equals_plain_join(spark, how):
     left, right = skewed(spark)
     plain = sorted(left.join(right, "k", how).select("v", "k", "name").collect(), key=lambda r: r.v)
-    salted = lookup.salted_join(left, right, ["k"], how, salts=8, share=0.01)
+    salted = lookup.salted_join(left, right, ["k"], how, tasks=50)
     assert salted.columns == ["k", "v", "name"]
     assert sorted(salted.select("v", "k", "name").collect(), key=lambda r: r.v) == plain
 
@@ -117,15 +117,17 @@ def test_salted_join_equals_plain_join(spark, how):
 def test_salted_join_with_several_matches_per_key(spark):
     left = spark.createDataFrame([(1, i) for i in range(50)] + [(2, 99)], "k int, v int")
     right = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, name string")
-    got = lookup.salted_join(left, right, ["k"], salts=4, share=0.1)
+    got = lookup.salted_join(left, right, ["k"], tasks=4)
     assert got.count() == 101 and got.distinct().count() == 101
 
 
-def test_frequent_key_is_split(spark):
+def test_frequent_keys_are_split_in_proportion(spark):
     left, _ = skewed(spark)
-    hot = {r[0] for r in lookup.frequent_keys(left, ["k"], 0.05).collect()}
-    seven = left.filter("k = 7").select(F.xxhash64("k")).first()[0]
-    assert seven in hot and len(hot) <= 20
+    key = F.xxhash64("k")
+    hot = {r["key"]: r["salts"] for r in lookup.frequent_keys(left, key, 30).collect()}
+    seven = left.filter("k = 7").select(key).first()[0]
+    # A third of the rows are the rows of ten of thirty tasks.
+    assert 10 <= hot[seven] <= 11 and len(hot) <= 60
     spread = left.filter("k = 7").withColumn("s", lookup.spread_salt(left, 8))
     counts = [r["count"] for r in spread.groupBy("s").count().collect()]
     assert len(counts) == 8 and max(counts) < 1000 / 4
@@ -137,28 +139,28 @@ def test_copies_of_one_row_are_split_between_tasks(spark):
     assert len(counts) >= 6 and max(counts) < 6400 / 2
 
 
-def test_salted_join_needs_equal_key_types(spark):
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_both_paths_take_the_same_joins(spark, shuffled):
     left, right = skewed(spark)
-    with pytest.raises(ValueError, match="type"):
-        lookup.salted_join(left, right.withColumn("k", F.col("k").cast("long")), ["k"])
-
-
-def test_lookup_join_broadcasts_only_what_fits(spark):
+    wider = right.withColumn("k", F.col("k").cast("long"))
+    plain = left.join(wider, "k", "left").select("k", "v", "name")
+    joined = lookup.lookup_join(left, wider, ["k"], shuffled=shuffled)
+    assert sorted(map(repr, joined.select("v", "name").collect())) == sorted(map(repr, plain.select("v", "name").collect()))
+    for how in ("full", "right", "semi"):
+        with pytest.raises(ValueError, match="left and inner|left or inner|a left or inner"):
+            lookup.lookup_join(left, right, ["k"], how, shuffled)
+    with pytest.raises(ValueError, match="no column"):
+        lookup.lookup_join(left, right, ["missing"], shuffled=shuffled)
+
+
+def test_names_of_the_salted_join_cannot_collide(spark):
     left, right = skewed(spark)
-    fits = lookup.lookup_join(left, right, ["k"])._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" in fits
-    large = lookup.lookup_join(left, right, ["k"], broadcast_limit=10)
-    assert "_salt" in large._jdf.queryExecution().optimizedPlan().toString()
-    assert large.count() == left.join(right, "k", "left").count()
-
-
-def test_size_bounds(spark):
-    df = spark.createDataFrame([("a" * 100, 1), ("b", 1), (None, 2)], "s string, k int")
-    exact = lookup.measured_bytes(df)
-    assert exact >= 101
-    bound = lookup.reduced_bytes(df, ["k"])
-    assert bound >= lookup.measured_bytes(latest.latest_per_key(df, ["k"], ["s"]))
-    assert lookup.measured_bytes(df.limit(0)) == 0
+    names = {"v": "salt", "name": "key_hash"}
+    odd_left = left.withColumnsRenamed(names).withColumn("frequent_key", F.lit(1))
+    odd_right = right.withColumnsRenamed(names).withColumns({"salts": F.lit(2), "spread": F.lit(3)})
+    joined = lookup.lookup_join(odd_left, odd_right, ["k"], shuffled=True)
+    assert joined.columns == ["k", "salt", "frequent_key", "key_hash", "salts", "spread"]
+    assert joined.count() == left.join(right, "k", "left").count()
 
 
 def traffic_and_weather(spark):
@@ -179,29 +181,29 @@ def traffic_and_weather(spark):
     return traffic, weather, t, w
 
 
-@pytest.mark.parametrize("limit", [lookup.BROADCAST_LIMIT_BYTES, 0])
+@pytest.mark.parametrize("shuffled", [False, True])
 @pytest.mark.parametrize("bucket", ["minute", "hour", "day"])
-def test_bucket_join_with_last_reading(spark, bucket, limit):
+def test_bucket_join_with_last_reading(spark, bucket, shuffled):
     traffic, weather, t, w = traffic_and_weather(spark)
     cut = {"minute": 16, "hour": 13, "day": 10}[bucket]
     best = {}
     for row in sorted(weather):
         best[(row[1], row[0].isoformat()[:cut])] = row[2]
     expected = sorted((c, best.get((d, ts.isoformat()[:cut]))) for c, d, ts in traffic)
-    joined = enrich.join_bucket(t, w, bucket, broadcast_limit=limit)
+    joined = enrich.join_bucket(t, w, bucket, shuffled=shuffled)
     assert joined.columns == [*t.columns, "temp_c"]
     got = joined.select("cam_id", "temp_c").collect()
     assert sorted(map(tuple, got), key=lambda r: r[0]) == sorted(expected, key=lambda r: r[0])
 
 
-@pytest.mark.parametrize("limit", [lookup.BROADCAST_LIMIT_BYTES, 0])
-def test_bucket_join_with_all_readings(spark, limit):
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_bucket_join_with_all_readings(spark, shuffled):
     traffic, weather, t, w = traffic_and_weather(spark)
     expected = []
     for c, d, ts in traffic:
         found = [x[2] for x in weather if x[1] == d and x[0].isoformat()[:16] == ts.isoformat()[:16]]
         expected += [(c, n) for n in found or [-1]]
-    joined = enrich.join_bucket(t, w, "minute", "all", broadcast_limit=limit)
+    joined = enrich.join_bucket(t, w, "minute", "all", shuffled=shuffled)
     got = [(r.cam_id, -1 if r.temp_c is None else r.temp_c) for r in joined.collect()]
     assert sorted(got) == sorted(expected)
 
@@ -213,10 +215,11 @@ def test_bucket_join_equals_plain_join_on_one_reading_per_minute(spark):
     assert sorted(map(repr, last)) == sorted(map(repr, enrich.join_bucket(t, single, "minute", "all").collect()))
 
 
-def test_bucket_join_across_spellings(spark):
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_bucket_join_across_spellings(spark, shuffled):
     _, _, t, w = traffic_and_weather(spark)
     respelled = t.withColumn("district", F.replace("district", F.lit("Quận"), F.lit("quan")))
-    joined = enrich.join_bucket(respelled, w, "hour", match_spellings=True)
+    joined = enrich.join_bucket(respelled, w, "hour", shuffled=shuffled, match_spellings=True)
     assert joined.columns == [*t.columns, "temp_c"]
     plain = enrich.join_bucket(t, w, "hour")
     assert sorted(map(repr, joined.select("cam_id", "temp_c").collect())) == sorted(

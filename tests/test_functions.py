@@ -186,3 +186,53 @@ def test_anchor_parts(spark):
     assert apply(spark, markup.anchor_text, anchors) == ["Tôi x", "t"]
     assert apply(spark, markup.anchor_href, anchors) == ["/x?a=1&b=2", None]
     assert apply(spark, markup.anchor_class, anchors) == ["search-result", None]
+
+
+def test_attributes_in_any_quotes(spark):
+    anchors = [
+        '<a data-href="bad" href="good">x</a>', "<a class='c d' href='/x'>x</a>", "<a href=/bare class=k>x</a>",
+        '<a title="a href=no > b" href="yes">x</a>', "<a href=''>x</a>", "<a>x</a>",
+    ]
+    assert apply(spark, markup.anchor_href, anchors) == ["good", "/x", "/bare", "yes", "", None]
+    assert apply(spark, markup.anchor_class, anchors) == [None, "c d", "k", None, None, None]
+    assert apply(spark, markup.anchors, ['<!-- <a href="x">no</a> --><a href="y">yes</a>']) == [['<a href="y">yes</a>']]
+
+
+def test_lists_of_other_types_do_not_swallow_a_camera(spark):
+    one = '[{"__type":"P","Name":"CamId","Value":"a]b","Format":null}]'
+    text = '{x:[{"__type":"Other","Name":"n"}],y:' + one + "," + one + "}"
+    assert apply(spark, records.property_lists, [text]) == [[one, one]]
+
+
+def test_last_point_of_a_camera_counts(spark):
+    from skylane.operators import pages
+
+    camera = "0123456789abcdef01234567"
+    listed = '[{"__type":"P","Name":"CamId","Value":"' + camera + '","Format":null}]'
+    points = ",".join(
+        '["e",new Ajax.Web.DataTable([["Shape"]],[["POINT(%s 1.5)"]]),"C",null,"%s"]' % (x, camera) for x in ("9.5", "1.5", "5.5")
+    )
+    feed = spark.createDataFrame([(1, listed + points)], "page_id int, text string")
+    row, = pages.camera_records(feed).collect()
+    assert (row.CamId, row.longitude, row.properties) == (camera, "5.5", {"CamId": camera})
+
+
+def test_nested_json_in_text(spark):
+    texts = ['a = {"x": {"y": "}"}}; {"z": 1}', "none", '{"open": 1', None]
+    assert apply(spark, records.embedded_json, texts) == ['{"x": {"y": "}"}}', None, None, None]
+
+
+def test_zone_of_an_instant_in_a_session_that_shifts_its_clock(spark):
+    saved = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("SELECT timestamp_seconds(s) AS ts FROM VALUES (1762063200), (1762066800) AS t(s) ORDER BY s")
+        rows = df.select(
+            timeparts.calendar_parts("ts", "Asia/Ho_Chi_Minh")["hour"].alias("h"), timeparts.iso_text("ts", "Asia/Ho_Chi_Minh").alias("t"),
+            timeparts.iso_text("ts", "America/New_York").alias("n"), timeparts.iso_text("ts", "UTC").alias("u"),
+        ).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", saved)
+    assert [r.h for r in rows] == [13, 14]
+    assert rows[0].t == "2025-11-02T13:00:00+07:00" and rows[0].u == "2025-11-02T06:00:00Z"
+    assert [r.n[-6:] for r in rows] == ["-05:00", "-05:00"]

@@ -113,7 +113,7 @@ def test_event_lake_layout(spark, tmp_path):
     rows = [(dt.datetime(2025, 6, 1, 7, 5, 1, 123456), i) for i in range(10)] + [(dt.datetime(2024, 12, 31, 23), 99)]
     df = spark.createDataFrame(rows, "timestamp timestamp_ntz, id int")
     sinks.write_event_lake(df, str(tmp_path / "lake"), max_records=4)
-    files = sorted(str(p.relative_to(tmp_path / "lake")) for p in (tmp_path / "lake").rglob("*.json.gz"))
+    files = sorted(str(p.relative_to(tmp_path / "lake")) for p in (tmp_path / "lake").rglob("*.txt.gz"))
     assert {f.rsplit("/", 1)[0] for f in files} == {
         "year=2025/month=06/day=01/hour=07", "year=2024/month=12/day=31/hour=23",
     }
@@ -190,19 +190,47 @@ def test_weather_pages_become_raw_events(spark):
     assert (cleaned.uv_index, cleaned.uv_index_status, cleaned.temp_c, cleaned.status) == (7, "high", 29, "mostly cloudy")
 
 
+def test_all_readings_are_published(spark):
+    extra = CARD.replace("<div>RealFeel&reg;</div>", "<div>Air Quality</div>").replace("<div>33&deg;</div>", "<div>Poor &amp; hazy</div>")
+    pages = spark.createDataFrame([("Quận 1", extra)], "district string, html string")
+    row, = jobs.weather_payloads(pages, dt.datetime(2025, 6, 1, 1), ZONE).collect()
+    value = json.loads(row.value)
+    assert row.key == "Quận 1" and value["air quality"] == "Poor & hazy" and value["district"] == "Quận 1"
+    assert value["max uv index"] == "7 High" and value["timestamp"].endswith("+07:00")
+
+
+def test_card_ends_at_its_own_tag(spark):
+    from skylane.functions import markup
+
+    pages = [
+        "<div class='x'>a</div><div id=1 class='content-module current-weather-card'><div class='content-module'>in</div>b</div>c",
+        "<div class=\"current-weather-cards\">no</div>", "<!-- <div class='current-weather-card'>no</div> -->",
+        "<div class=current-weather-card>open", None,
+    ]
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, v string")
+    cards = [r[0] for r in df.orderBy("i").select(markup.weather_card("v")).collect()]
+    assert cards == ["<div class='content-module'>in</div>b", None, None, "open", None]
+
+
+def test_own_hour_column_reaches_the_file(spark, tmp_path):
+    df = spark.createDataFrame([(dt.datetime(2025, 6, 1, 7), 99)], "timestamp timestamp_ntz, hour int")
+    sinks.write_event_lake(df, str(tmp_path / "lake"))
+    assert [r.hour for r in lake.read_events(spark, str(tmp_path / "lake"), df.schema).collect()] == [99]
+    assert [r.hour for r in lake.read_events(spark, str(tmp_path / "lake"), df.schema, dt.date(2025, 6, 1)).collect()] == [99]
+    assert lake.read_events(spark, str(tmp_path / "lake"), df.schema, dt.date(2025, 6, 2)).count() == 0
+
+
 def test_constant_lookups(spark):
     cameras = lookups.round_cameras(spark)
     assert cameras.count() == 50 and cameras.select("district").distinct().count() == 21
     assert lookups.top_cameras(spark).count() == 10
-    pages = {r.district: r.url for r in lookups.weather_pages(spark, "https://w.example").collect()}
-    assert len(pages) == 21
-    assert pages["Bình Chánh"] == "https://w.example/en/vn/binh-chanh/429728/current-weather/429728"
-    assert pages["Quận 10"] == "https://w.example/en/vn/district-10/3554442/current-weather/3554442"
 
 
 def test_lookup_files(spark, tmp_path):
     (tmp_path / "d.csv").write_text("id,district\na,Quận 1\n", encoding="utf-8")
     (tmp_path / "r.csv").write_text("id,district,priority\na,Quận 10,1\na,Quận 3,2\n", encoding="utf-8")
+    (tmp_path / "w.csv").write_text("district,url\nQuận 1,https://w.example/1\n", encoding="utf-8")
+    assert [tuple(r) for r in lookups.weather_pages(spark, str(tmp_path / "w.csv")).collect()] == [("Quận 1", "https://w.example/1")]
     assert [tuple(r) for r in lookups.camera_districts(spark, str(tmp_path / "d.csv")).collect()] == [("a", "Quận 1")]
     dim = spark.createDataFrame([("a", "Quận 1"), ("b", "Quận 2")], "id string, district string")
     repaired = jobs.repair_district(dim, lookups.district_repairs(spark, str(tmp_path / "r.csv")))
@@ -212,12 +240,12 @@ def test_lookup_files(spark, tmp_path):
 @pytest.fixture()
 def image_predictor():
     def make():
-        def predict(blob):
+        def one(blob):
             if blob.startswith(b"bad"):
                 return None
             return (480, 640), [(2, 0.875, (1, 2, 3, 4)), (0, 0.9, (0, 0, 1, 1)), (7, 0.125, (5, 6, 7, 8))]
 
-        return predict
+        return lambda blobs: [one(blob) for blob in blobs]
 
     return make
 
@@ -248,6 +276,13 @@ def test_detections_become_raw_events(spark, image_predictor):
     assert clean.clean_traffic(events).count() == 2
 
 
+def test_detections_name_their_zone(spark, image_predictor):
+    images = spark.sql("SELECT 'c1' AS cam_id, 'Quận 1' AS district, timestamp'2025-06-01 20:00:05Z' AS taken_at, X'00' AS content")
+    found = detect.detect(images, image_predictor, ["cam_id", "district", "taken_at"])
+    row = detect.traffic_events(found, "bucket", zone=ZONE).first()
+    assert row.img.endswith("/c1/2025-06-02/03-00-05.jpg") and row.timestamp == "2025-06-02T03:00:05+07:00"
+
+
 def test_kafka_options():
     assert kafka.stream_options("b:9", "t") == {
         "kafka.bootstrap.servers": "b:9", "subscribe": "t", "startingOffsets": "latest",

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skylane import schemas
-from skylane.operators import clean, lookup
-from skylane.plans import derive
+from skylane.operators import clean, lookup, pages, serving
+from skylane.plans import catalog, derive
+from skylane.streaming import queries
 
 
 def plan_of(df) -> str:
@@ -36,42 +37,52 @@ def test_unused_columns_and_nested_fields_are_not_read(staged):
         assert unused not in read
 
 
-def test_measuring_a_reduced_side_reads_only_keys_and_text(spark, sf_dir):
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id", "event_id", "ts", "value")
-    seen = []
-    original = type(events).agg
-    try:
-        type(events).agg = lambda self, *a: seen.append(original(self, *a)) or seen[-1]
-        lookup.reduced_bytes(events, ["user_id"])
-    finally:
-        type(events).agg = original
-    assert "ReadSchema: struct<user_id:bigint>" in plan_of(seen[-1])
-
-
-def test_large_sides_are_shuffled_not_broadcast(spark, sf_dir):
-    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_suppkey", "l_quantity")
-        side = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
-        joined = lookup.salted_join(lines, side, ["l_suppkey"])
-        plan = plan_of(joined)
-        assert "SortMergeJoin [l_suppkey" in plan and "_salt" in plan
-        assert joined.count() == lines.count()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+def test_salted_join_is_shuffled(spark, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_suppkey", "l_quantity")
+    side = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
+    joined = lookup.salted_join(lines, side, ["l_suppkey"])
+    plan = plan_of(joined)
+    assert "SortMergeJoin [l_suppkey" in plan and "salt" in plan
+    assert joined.count() == lines.count()
+
+
+@pytest.mark.parametrize("name", ["join_bucket_salted", "salted_lookup"])
+def test_queries_of_the_shuffled_path_shuffle(name, spark, sf_dir):
+    assert "SortMergeJoin" in plan_of(entry.queries()[name](spark, sf_dir))
+
+
+def test_merge_opens_only_later_parts(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1)], "cam_id string, value int")
+    for part in range(3):
+        serving.append_part(rows, str(tmp_path), part)
+    later = serving.later_parts(spark, str(tmp_path), 1)
+    assert "PartitionFilters: [isnotnull(part_id" in plan_of(later)
+    assert len(later.inputFiles()) < len(serving.read_parts(spark, str(tmp_path)).inputFiles())
+
+
+def test_stream_join_repeats_nothing_by_default(spark, sf_dir, tmp_path):
+    traffic = clean.clean_traffic(derive.raw_traffic(spark.read.parquet(f"{sf_dir}/orders.parquet")))
+    weather = clean.clean_weather(derive.raw_weather(spark.read.parquet(f"{sf_dir}/events.parquet")))
+    plan = queries.join_bucket_stream(traffic, weather)._jdf.queryExecution().optimizedPlan().toString()
+    # One explode of the detected objects, none of salts.
+    assert plan.count("Generate explode(sequence") == 0
+
+
+def test_camera_points_need_no_join(spark):
+    feed = spark.createDataFrame([(1, "x")], "page_id int, text string")
+    assert "Join" not in plan_of(pages.camera_records(feed))
 
 
 PYTHON_QUERIES = {
     "location_key", "district_join_key", "city_locations", "page_title", "page_links", "page_absolute_url",
-    "anchor_filter", "weather_page_properties", "detect_stub", "join_bucket_spellings",
+    "anchor_filter", "city_list", "weather_page_properties", "detect_stub", "join_bucket_spellings",
 }
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_no_cross_joins_and_python_only_where_needed(name, spark, sf_dir):
     if name.startswith("stream_") or name == "sync_events_job":
         pytest.skip("returns what the sink holds")
-    plan = plan_of(entry.queries()[name](spark, sf_dir))
+    plan = plan_of(catalog.queries()[name](spark, sf_dir))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert any(n in plan for n in ("EvalPython", "MapInPandas")) == (name in PYTHON_QUERIES)

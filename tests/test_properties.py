@@ -90,14 +90,17 @@ def test_latest_is_the_greatest_row(spark, rows):
 def test_salted_join_gives_the_plain_rows(spark, left_keys, right_keys):
     left = spark.createDataFrame(list(enumerate(left_keys)), "v int, k int").repartition(3)
     right = spark.createDataFrame([(k, i) for i, k in enumerate(right_keys)], "k int, n int")
-    salted = lookup.salted_join(left, right, ["k"], salts=3, share=0.2)
-    plain = left.join(right, "k", "left").select(*salted.columns)
-    assert sorted(map(repr, salted.collect())) == sorted(map(repr, plain.collect()))
+    for how in lookup.JOINS:
+        salted = lookup.lookup_join(left, right, ["k"], how, shuffled=True)
+        free = lookup.lookup_join(left, right, ["k"], how)
+        plain = left.join(right, "k", how).select(*salted.columns)
+        assert sorted(map(repr, salted.collect())) == sorted(map(repr, plain.collect()))
+        assert sorted(map(repr, free.collect())) == sorted(map(repr, plain.collect()))
 
 
 @FEW
-@given(st.lists(st.tuples(st.integers(0, 3), TEXT), min_size=1, max_size=30))
-def test_reduced_size_is_an_upper_bound(spark, rows):
-    df = spark.createDataFrame(rows, "k int, s string")
-    reduced = latest.latest_per_key(df.withColumn("t", F.length("s")), ["k"], ["t"]).drop("t")
-    assert lookup.reduced_bytes(df, ["k"]) >= lookup.measured_bytes(reduced)
+@given(st.lists(st.one_of(st.none(), st.text("a\\\t\n\r\"n ", max_size=8)), min_size=1, max_size=30))
+def test_fields_survive_their_line(spark, values):
+    written = apply(spark, measures.escaped, values)
+    assert not any(set(w) & set("\t\n\r") for w in written if w)
+    assert apply(spark, lambda c: measures.unescaped(measures.escaped(c)), values) == values

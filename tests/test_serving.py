@@ -80,7 +80,7 @@ def test_merge_by_hand(spark, tmp_path):
             triples[(cam, rng.randrange(120))] = rng.randrange(1000)
         expected.update(triples)
         serving.append_part(rows_of(spark, [(c, m, v) for (c, m), v in triples.items()]), str(tmp_path / "p"), part)
-    serving.merge_parts(spark, str(tmp_path / "p"), str(tmp_path / "t"), ["cam_id", "ts"])
+    serving.merge_parts(spark, str(tmp_path / "p"), str(tmp_path / "t"), ["cam_id", "ts"], days=None)
     table = spark.read.parquet(str(tmp_path / "t"))
     base = dt.datetime(2025, 5, 30, 23, 0)
     got = {(r.cam_id, int((r.ts - base).total_seconds() // 60)): r.value for r in table.collect()}
@@ -92,14 +92,14 @@ def test_next_generation_reads_only_later_parts(spark, tmp_path):
     parts, first, second = (str(tmp_path / n) for n in ("p", "one", "two"))
     keys = ["cam_id", "ts"]
     serving.append_part(rows_of(spark, [("a", 1, 1), ("b", 1, 2)]), parts, 0)
-    assert serving.merge_parts(spark, parts, first, keys) == 0
+    assert serving.merge_parts(spark, parts, first, keys, days=None) == 0
     serving.append_part(rows_of(spark, [("z", 9, 9)]), parts, 0)
     serving.append_part(rows_of(spark, [("a", 1, 3), ("c", 1, 4)]), parts, 1)
-    assert serving.merge_parts(spark, parts, second, keys, previous=first, after=0) == 1
+    assert serving.merge_parts(spark, parts, second, keys, days=None, previous=first, after=0) == 1
     rows = sorted((r.cam_id, r.value) for r in spark.read.parquet(second).collect())
     assert rows == [("a", 3), ("b", 2), ("c", 4)]
     assert spark.read.parquet(first).count() == 2
-    assert serving.merge_parts(spark, parts, str(tmp_path / "three"), keys, previous=second, after=1) == 1
+    assert serving.merge_parts(spark, parts, str(tmp_path / "three"), keys, days=None, previous=second, after=1) == 1
     assert not (tmp_path / "three").exists()
 
 
@@ -107,7 +107,7 @@ def test_newest_part_of_a_running_stream_is_left(spark, tmp_path):
     parts, table = str(tmp_path / "p"), str(tmp_path / "t")
     serving.append_part(rows_of(spark, [("a", 1, 1)]), parts, 0)
     serving.append_part(rows_of(spark, [("a", 1, 2)]), parts, 1)
-    assert serving.merge_parts(spark, parts, table, ["cam_id", "ts"], live=True) == 0
+    assert serving.merge_parts(spark, parts, table, ["cam_id", "ts"], days=None, live=True) == 0
     assert [r.value for r in spark.read.parquet(table).collect()] == [1]
 
 
@@ -139,3 +139,24 @@ def test_overwrite_touches_only_its_partitions(spark, tmp_path):
     sinks.overwrite_partitions(spark.createDataFrame([(3, "b")], "k int, p string"), path, ["p"])
     sinks.overwrite_partitions(spark.createDataFrame([(4, "a")], "k int, p string"), path, ["p"])
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(3, "b"), (4, "a")]
+
+
+def test_last_arrival_wins_within_a_part(spark, tmp_path):
+    at = dt.datetime(2025, 6, 1, 8)
+    message = '{"cam_id": "c", "ts": "2025-06-01T08:00:00Z", "object_pos": 1, "temp_c": %d}'
+    rows = [(bytearray((message % temp).encode()), at, 0, offset) for temp, offset in ((31, 1), (20, 2))]
+    topic = spark.createDataFrame(rows, "value binary, timestamp timestamp, partition int, offset long")
+    serving.append_part(kafka.parse_serving(topic), str(tmp_path), 0)
+    row, = serving.current_rows(serving.read_parts(spark, str(tmp_path)), serving.DEFAULT_KEY).collect()
+    assert (row.temp_c, row.object_pos) == (20, 1)
+
+
+def test_rows_expire_without_a_new_part(spark, tmp_path):
+    parts, first, second, third = (str(tmp_path / n) for n in ("p", "one", "two", "three"))
+    serving.append_part(rows_of(spark, [("a", 1, 1), ("b", 60 * 24 * 5, 2)]), parts, 0)
+    keys, base = ["cam_id", "ts"], dt.datetime(2025, 5, 30, 23)
+    assert serving.merge_parts(spark, parts, first, keys, F.lit(base + dt.timedelta(days=6))) == 0
+    assert serving.merge_parts(spark, parts, second, keys, F.lit(base + dt.timedelta(days=8)), previous=first, after=0) == 0
+    assert [r.cam_id for r in spark.read.parquet(second).collect()] == ["b"]
+    assert serving.merge_parts(spark, parts, third, keys, F.lit(base + dt.timedelta(days=9)), previous=second, after=0) == 0
+    assert not (tmp_path / "three").exists()

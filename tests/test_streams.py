@@ -5,10 +5,12 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skylane import schemas
 from skylane.operators import clean, enrich, serving
 from skylane.plans import jobs
+from skylane.sources import lake
 from skylane.streaming import queries
 
 BASE = dt.datetime(2025, 6, 1, 8)
@@ -124,6 +126,22 @@ def test_sync_places_events_by_their_own_time(spark, tmp_path):
     assert {r.value for r in queries.quarantined(spark, lake).collect()} == set(texts[2:])
 
 
+def test_sync_by_another_field_in_bounded_files(spark, tmp_path):
+    texts = [f'{{"at": "2025-06-01T0{i % 2}:00:00Z", "hour": {i}}}' for i in range(40)] + ["broken"]
+    source, lake_root, mark = str(tmp_path / "topic"), str(tmp_path / "lake"), str(tmp_path / "mark")
+    messages(spark, texts).repartition(8).write.parquet(source)
+    stream = queries.file_stream(spark, source, messages(spark, texts).schema, "parquet")
+    queries.sync_lake(stream, lake_root, mark, time_field="at", max_records=15).awaitTermination()
+    files = [p for p in (tmp_path / "lake").rglob("*.txt.gz") if "HIVE" not in str(p)]
+    per_hour = {}
+    for p in files:
+        per_hour.setdefault(p.parent, []).append(p)
+    assert [len(v) for v in per_hour.values()] == [2, 2]
+    schema = T.StructType([T.StructField("hour", T.IntegerType())])
+    assert sorted(r.hour for r in lake.read_events(spark, lake_root, schema).collect()) == list(range(40))
+    assert lake.read_events(spark, lake_root, schema, quarantined=True).count() == 41
+
+
 def test_sync_runs_take_only_what_is_new(spark, tmp_path):
     source, lake, mark = str(tmp_path / "topic"), str(tmp_path / "lake"), str(tmp_path / "mark")
     for i in range(3):
