@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,6 +76,18 @@ def keyed(df: DataFrame) -> tuple[DataFrame, str, str]:
     return keyed(written(df, "rows"))
 
 
+def slices(batches: Iterator, size: int = 500) -> Iterator:
+    """Arrow batches, or tuples of them, cut into runs of ``size`` rows.
+
+    What a task holds as Python objects then is one run, not a whole batch.
+    """
+    for batch in batches:
+        columns = batch if isinstance(batch, tuple) else (batch,)
+        for start in range(0, len(columns[0]), size):
+            cut = tuple(c.slice(start, size) for c in columns)
+            yield cut if isinstance(batch, tuple) else cut[0]
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the fifth of the documents that no model may learn labels from.
 
