@@ -192,7 +192,7 @@ def _matcher(spark: SparkSession, automaton: Automaton):
     @F.arrow_udf(MATCH)
     def match(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         machine = shared.value
-        for texts, earlier in batches:
+        for texts, earlier in rows.slices(batches):
             found = []
             for text, before in zip(texts.to_pylist(), earlier.to_pylist()):
                 ws = words(text) if text else []
@@ -251,7 +251,7 @@ def without(text: Column, spans: Column) -> Column:
 
     @F.arrow_udf("string")
     def shorten(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for texts, found in batches:
+        for texts, found in rows.slices(batches):
             yield pa.array(
                 [
                     cut(t, [(s["start"], s["end"]) for s in hit]) if t and hit else t

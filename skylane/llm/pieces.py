@@ -34,11 +34,13 @@ import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from skylane.llm import rows
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 
-_REMEMBERED = 400_000
-_PAIRS = 500_000
+_REMEMBERED = 150_000
+_PAIRS = 150_000
 _UNKNOWN = -1
 
 # Fixed values of the model format: field numbers, and the numbers of kinds.
@@ -321,7 +323,7 @@ def encoder(spark: SparkSession, machine: Transducer):
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
-        for batch in batches:
+        for batch in rows.slices(batches):
             yield _id_lists([None if t is None else m.encoded(t) for t in batch.to_pylist()])
 
     return encode
@@ -334,7 +336,7 @@ def decoder(spark: SparkSession, machine: Transducer):
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
-        for batch in batches:
+        for batch in rows.slices(batches):
             yield pa.array([None if ids is None else m.decode(ids) for ids in batch.to_pylist()], pa.string())
 
     return decode
@@ -348,7 +350,7 @@ def encoder_with_check(spark: SparkSession, machine: Transducer):
     @F.arrow_udf("ids array<int>, round_trip boolean")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
-        for batch in batches:
+        for batch in rows.slices(batches):
             found, same = [], []
             for text in batch.to_pylist():
                 ids = None if text is None else m.encoded(text)

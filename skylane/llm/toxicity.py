@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -41,7 +42,7 @@ THRESHOLD = 0.5
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"[^\W\d_]+")
-_REMEMBERED = 300_000
+_REMEMBERED = 100_000
 
 SENTENCES = "array<struct<start:int,end:int,score:double>>"
 
@@ -95,15 +96,20 @@ def fit(texts: list[str], toxic: list[int], rounds: int = ROUNDS, l1: float = L1
     """Gradient ascent on the noisy-or likelihood, with Adagrad steps and an L1 penalty."""
     if len(set(toxic)) < 2:
         return Weights(0.0, {})
+    numbers: dict[str, int] = {}
     bags, seen = [], (Counter(), Counter())
     for text, y in zip(texts, toxic):
-        bag = [w for m in _SENTENCE.finditer(text) if (w := set(_WORD.findall(m[0].lower())))]
+        bag = [
+            array("i", {numbers.setdefault(w, len(numbers)) for w in found})
+            for m in _SENTENCE.finditer(text) if (found := _WORD.findall(m[0].lower()))
+        ]
         bags.append(bag)
         seen[y].update(set().union(*bag))
+    words = list(numbers)
     in_docs = (Counter(), Counter())
     for y in (0, 1):
         for word, n in seen[y].items():
-            for f in features(word):
+            for f in features(words[word]):
                 in_docs[y][f] += n
     # A beginning is counted once for each word of a document that has it; what matters is
     # that features as frequent in one class as in the other can't tell anything.
@@ -115,11 +121,11 @@ def fit(texts: list[str], toxic: list[int], rounds: int = ROUNDS, l1: float = L1
         if clean + bad >= MIN_DOCS and not 1 / TELLING < rate < TELLING:
             telling.append(f)
     index = {f: i for i, f in enumerate(telling)}
-    known = {w: [index[f] for f in features(w) if f in index] for w in seen[0].keys() | seen[1].keys()}
+    known = {i: found for i, w in enumerate(words) if (found := [index[f] for f in features(w) if f in index])}
     sentence_of, feature_of, bag_of = [], [], []
     for b, bag in enumerate(bags):
-        for words in bag:
-            found = [i for w in words for i in known[w]]
+        for sentence in bag:
+            found = [i for w in sentence if w in known for i in known[w]]
             if not found:
                 continue
             feature_of.extend(found)
@@ -191,7 +197,7 @@ def scorer(spark: SparkSession, weights: Weights):
     @F.arrow_udf("double")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
-        for batch in batches:
+        for batch in rows.slices(batches):
             yield pa.array([model.score(t.as_py()) for t in batch], pa.float64())
 
     return score
@@ -205,7 +211,7 @@ def locator(spark: SparkSession, weights: Weights, threshold: float = THRESHOLD)
     @F.arrow_udf(SENTENCES)
     def locate(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
-        for batch in batches:
+        for batch in rows.slices(batches):
             out = []
             for value in batch:
                 text, found = value.as_py() or "", []
