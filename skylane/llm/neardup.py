@@ -52,7 +52,7 @@ PIVOTS = (1, 32, None)
 LEAST_AGREEING = 80
 
 SKETCH = "node binary, weight long, buckets array<long>, signature array<tinyint>"
-_AT_ONCE = 200_000
+_AT_ONCE = 50_000
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 

@@ -39,8 +39,8 @@ from skylane.llm import rows
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 
-_REMEMBERED = 150_000
-_PAIRS = 150_000
+_REMEMBERED = 80_000
+_PAIRS = 100_000
 _UNKNOWN = -1
 
 # Fixed values of the model format: field numbers, and the numbers of kinds.

@@ -76,7 +76,7 @@ def keyed(df: DataFrame) -> tuple[DataFrame, str, str]:
     return keyed(written(df, "rows"))
 
 
-def slices(batches: Iterator, size: int = 500) -> Iterator:
+def slices(batches: Iterator, size: int = 200) -> Iterator:
     """Arrow batches, or tuples of them, cut into runs of ``size`` rows.
 
     What a task holds as Python objects then is one run, not a whole batch.
