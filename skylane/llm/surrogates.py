@@ -9,9 +9,12 @@ and top-level domains stay, and a name keeps the gender of its title and its scr
 
 Equal entities have equal replacements in all documents and in all their spellings
 (coreference), different ones different replacements (distinctness): replacements that two
-entities share, or that are themselves an entity of the corpus, are drawn again until none
-is left. Names are replaced word by word, so that ``Mr Smith`` and ``Mr John Smith`` share
-a word afterwards as well.
+entities share, or that are themselves an entity of the corpus, are drawn again. What is
+open after ``MAX_DRAWS`` draws is settled by number: the open entities of a format take its
+free replacements in order, and those for which the format has none left get a longer one
+(an address of a full private range one of ``10.``, then an IPv6 address). Names are
+replaced word by word, so that ``Mr Smith`` and ``Mr John Smith`` share a word afterwards
+as well. A run of signs without a letter or digit, such as ``password: ______``, is no secret.
 
 A null text stays null, a text without an entity stays as it is; rows are told apart by
 place, so repeated rows and missing ids do no harm. All of it is DataFrame functions. The
@@ -24,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skylane.llm import rows
+from skylane.operators import dimensions
 
 KEY = "surrogates"
 MAX_DRAWS = 40
@@ -36,7 +40,7 @@ _NAME = r"\p{Lu}[\p{L}'-]*\p{L}"
 # In the order in which they are tried at a place.
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "secret": r"(?<=(?i:password|passwd|pwd|token|secret|api_?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)[A-Za-z0-9+/_-]{6,}",
+    "secret": r"(?<=(?i:password|passwd|pwd|token|secret|api_?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(?=[+/_-]*[A-Za-z0-9])[A-Za-z0-9+/_-]{6,}",
     "key": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
@@ -166,6 +170,14 @@ def _phone(key: str, kind: Column, value: Column, draw: Column) -> Column:
     return F.concat(F.substr(value, F.lit(1), country), first, rest)
 
 
+def _ending(kind: Column, cyrillic: Column) -> Column:
+    return (
+        F.when(kind == "name_f", F.when(cyrillic, "на").otherwise("na"))
+        .when(kind == "name_m", F.when(cyrillic, "тор").otherwise("dor"))
+        .otherwise(F.when(cyrillic, "лин").otherwise("lin"))
+    )
+
+
 def _made_up(key: str, kind: Column, value: Column, draw: Column) -> Column:
     """A made-up name word of the script and gender; more draws make it longer."""
     cyrillic = value.rlike(r"\p{IsCyrillic}")
@@ -177,12 +189,7 @@ def _made_up(key: str, kind: Column, value: Column, draw: Column) -> Column:
         ),
         "",
     )
-    ending = (
-        F.when(kind == "name_f", F.when(cyrillic, "на").otherwise("na"))
-        .when(kind == "name_m", F.when(cyrillic, "тор").otherwise("dor"))
-        .otherwise(F.when(cyrillic, "лин").otherwise("lin"))
-    )
-    return F.initcap(F.concat(F.when(cyrillic, syllable(_CYRILLIC)).otherwise(syllable(_LATIN)), ending))
+    return F.initcap(F.concat(F.when(cyrillic, syllable(_CYRILLIC)).otherwise(syllable(_LATIN)), _ending(kind, cyrillic)))
 
 
 def replacement(key: str, kind: Column, value: Column, draw: Column) -> Column:
@@ -199,29 +206,186 @@ def replacement(key: str, kind: Column, value: Column, draw: Column) -> Column:
     )
 
 
+# Free places of a format's pattern: a sign, how many values it has, and the value of a number.
+_PLACES = {
+    "0": (10, lambda d: d.cast("string")),
+    "2": (8, lambda d: (d + 2).cast("string")),
+    "a": (26, lambda d: _pick(rows.LOWER, d)),
+    "A": (26, lambda d: _pick(rows.UPPER, d)),
+    "h": (16, lambda d: _pick("0123456789abcdef", d)),
+    "o": (254, lambda d: (d + 1).cast("string")),
+    "x": (256, lambda d: d.cast("string")),
+    "p": (80, lambda d: (d + 11).cast("string")),
+    "s": (16, lambda d: F.get(F.array(*map(F.lit, _LATIN)), d.cast("int"))),
+    "c": (16, lambda d: F.get(F.array(*map(F.lit, _CYRILLIC)), d.cast("int"))),
+}
+_FORMAT = ["kind", "prefix", "pattern", "suffix"]
+# The own format, then a longer one; a full private range first takes a larger one.
+_STEPS = 3
+_COUNTLESS = 10**18
+
+
+def _format(key: str, kind: Column, value: Column, step: int) -> Column:
+    """Prefix, pattern and suffix that the replacements of a canonical entity have in common."""
+    hexadecimal = value.rlike("^[0-9a-f]{8,}$") & value.rlike("[0-9]") & value.rlike("[a-f]")
+    places = lambda c: F.translate(c, "0123456789" + rows.LOWER + rows.UPPER, "0" * 10 + "a" * 26 + "A" * 26)
+    more = lambda sign: F.lit(sign * 18 if step else "")
+    shape = lambda prefix, pattern, suffix="": F.struct(
+        *[(F.lit(c) if isinstance(c, str) else c).alias(n) for n, c in (("prefix", prefix), ("pattern", pattern), ("suffix", suffix))]
+    )
+    cyrillic = value.rlike(r"\p{IsCyrillic}")
+    name = shape("", F.when(cyrillic, "c" * 16).otherwise("s" * 16), _ending(kind, cyrillic))
+    card = shape(F.substr(value, F.lit(1), F.lit(1)), F.concat(F.lit("0" * 13), more("0")), (_check_digit(value) % 10).cast("string"))
+    wide, narrow = value.rlike(r"^(10|127)\."), value.rlike(r"^(192\.168|169\.254|172\.(1[6-9]|2\d|3[01]))\.")
+    ip = [
+        F.when(wide, shape(F.concat(F.substring_index(value, ".", 1), F.lit(".")), "o.o.o"))
+        .when(narrow, shape(F.concat(F.substring_index(value, ".", 2), F.lit(".")), "o.o")).otherwise(shape("", "p.o.o.o")),
+        F.when(wide | narrow, shape("10.", "x.x.x")).otherwise(shape("2001:db8:", ":".join(["hhhh"] * 6))),
+        F.when(wide | narrow, shape("fd00:", ":".join(["hhhh"] * 7))).otherwise(shape("2001:db8:", ":".join(["hhhh"] * 6))),
+    ][step]
+    domain = F.substring_index(value, "@", -1)
+    top = F.substring_index(domain, ".", -1)
+    below = F.substr(domain, F.lit(1), F.length(domain) - F.length(top) - 1)
+    email = shape(
+        "", F.concat(places(F.substring_index(value, "@", 1)), more("a")),
+        F.concat(F.lit("@"), _letters(key, F.lit("domain"), below, F.lit(0)), F.lit("."), top),
+    )
+    country = F.greatest(F.length(value) - 10, F.lit(0))
+    phone = shape(
+        F.substr(value, F.lit(1), country), F.concat(F.lit("2"), places(F.substr(value, country + 2)), more("0"))
+    )
+    return (
+        F.when(kind.startswith("name"), name)
+        .when(kind == "card", card)
+        .when(kind == "ip", ip)
+        .when(kind == "email", email)
+        .when(kind == "phone", phone)
+        .when(kind == "iban", shape(F.substr(value, F.lit(1), F.lit(2)), F.concat(places(F.substr(value, F.lit(3))), more("0"))))
+        .when(kind == "key", shape("AKIA", F.concat(places(F.substr(value, F.lit(5))), more("A"))))
+        .when(kind == "ssn", shape("", F.concat(places(value), more("0"))))
+        .when(hexadecimal, shape("", F.concat(F.regexp_replace(value, ".", "h"), more("h"))))
+        .otherwise(shape("", F.concat(places(value), more("a"))))
+    )
+
+
+def _radix(sign: Column) -> Column:
+    found = F.lit(1)
+    for place, (n, _) in _PLACES.items():
+        found = F.when(sign == place, n).otherwise(found)
+    return found
+
+
+def _space(pattern: Column) -> Column:
+    """How many replacements a pattern has; countless ones are ``_COUNTLESS``."""
+    return F.aggregate(
+        F.split(pattern, ""), F.lit(1.0), lambda n, c: F.least(n * _radix(c), F.lit(float(_COUNTLESS)))
+    ).cast("long")
+
+
+def _numbered(key: str, number: Column) -> Column:
+    """The replacement of a format by its number; the secret key turns every place."""
+    kind, prefix, pattern, suffix = map(F.col, _FORMAT)
+
+    def one(a: Column, c: Column) -> Column:
+        radix = _radix(c)
+        turned = (a["left"] % radix + _draw(key, kind, prefix, pattern, suffix, a["at"]) % radix) % radix
+        sign = c
+        for place, (_, value) in _PLACES.items():
+            sign = F.when(c == place, value(turned)).otherwise(sign)
+        return F.struct(
+            F.concat(a["out"], sign).alias("out"), F.floor(a["left"] / radix).cast("long").alias("left"), (a["at"] + 1).alias("at")
+        )
+
+    start = F.struct(F.lit("").alias("out"), number.cast("long").alias("left"), F.lit(0).alias("at"))
+    free = F.aggregate(F.split(pattern, ""), start, one)["out"]
+    body = F.concat(prefix, free)
+    missing = (10 - _check_digit(F.concat(body, F.lit("0"))) % 10) % 10
+    return (
+        F.when(kind == "card", F.concat(body, ((missing + suffix.cast("int")) % 10).cast("string")))
+        .when(kind.startswith("name"), F.initcap(F.concat(body, suffix)))
+        .otherwise(F.concat(body, suffix))
+    )
+
+
+def _ranked(df: DataFrame, order: list[str]) -> DataFrame:
+    """``df`` with the place of each row within its format in ``rank`` and the rows of the format in ``n``."""
+    placed = rows.written(dimensions.numbered(df, [*_FORMAT, *order], "number"), "numbers")
+    first = placed.groupBy(*_FORMAT).agg(F.min("number").alias("first"), F.count(F.lit(1)).alias("n"))
+    return placed.join(first, _FORMAT).withColumn("rank", F.col("number") - F.col("first")).drop("number", "first")
+
+
+def _by_number(pending: DataFrame, held: DataFrame, key: str) -> DataFrame:
+    """``kind``, ``value`` and ``surrogate`` of entities whose draws all collided, however full their formats are.
+
+    A round lists the first replacements of every format, at first as many as it has open
+    entities and twice as many each time, and hands out those that nobody holds; so a round
+    lists no more than twice what is held and open. Once a format is listed to its end, who
+    went away empty goes on with the next format.
+    """
+    parts = []
+    for step in range(_STEPS):
+        shaped = _format(key, F.col("kind"), F.col("value"), step)
+        pending = rows.written(pending.select("kind", "value", shaped.alias("s")).select("kind", "value", "s.*"), "open")
+        empty, doublings = [], 0
+        while not pending.isEmpty():
+            turn = _draw(key, F.col("kind"), F.col("value"))
+            waiting = rows.written(_ranked(pending.withColumn("turn", turn), ["turn", "value"]), "waiting")
+            # Two short lists, so that no row holds a long one.
+            outer, inner = 1 << doublings // 2, 1 << (doublings + 1) // 2
+            listed = (
+                waiting.select(*_FORMAT, "rank", "n", F.explode(F.sequence(F.lit(0), F.lit(outer - 1))).alias("a"))
+                .select("*", F.explode(F.sequence(F.lit(0), F.lit(inner - 1))).alias("b"))
+                .withColumn("i", F.col("rank") + F.col("n") * (F.col("a").cast("long") * inner + F.col("b")))
+                .where(F.col("i") < _space(F.col("pattern")))
+                .select(*_FORMAT, "i", _numbered(key, F.col("i")).alias("surrogate"))
+            )
+            free = _ranked(listed.join(held, ["kind", "surrogate"], "left_anti"), ["i"]).select(*_FORMAT, "rank", "surrogate")
+            given = rows.written(waiting.join(free, [*_FORMAT, "rank"], "left"), "given")
+            # Formats can share replacements, as a hexadecimal number may have digits only.
+            won = given.where("surrogate IS NOT NULL").groupBy("kind", "surrogate").agg(F.min("value").alias("value"))
+            won = rows.written(won, "settled")
+            parts.append(won.select("kind", "value", "surrogate"))
+            held = held.unionByName(won.select("kind", "surrogate"))
+            ended = F.col("surrogate").isNull() & (F.col("n") * F.lit(1 << doublings) >= _space(F.col("pattern")))
+            empty.append(given.where(ended).select("kind", "value"))
+            rest = given.where(~ended).join(won.select("kind", "value"), ["kind", "value"], "left_anti")
+            pending = rows.written(rest.select("value", *_FORMAT), "open")
+            doublings += 1
+        if not empty:
+            break
+        pending = empty[0]
+        for more in empty[1:]:
+            pending = pending.unionByName(more)
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found
+
+
 def assign(entities: DataFrame, key: str = KEY, max_draws: int = MAX_DRAWS) -> DataFrame:
     """``kind``, ``value`` and ``surrogate`` of distinct entities; no surrogate twice, none an entity.
 
     Each draw settles all entities whose surrogate nobody else holds or drew before them in
-    alphabetical order; the others draw again. Every draw is written to the shared folder.
+    alphabetical order; the others draw again, and after ``max_draws`` draws the rest is
+    settled by number. Every draw is written to the shared folder.
     """
     entities = rows.written(entities, "entities")
-    taken = entities.select("kind", F.col("value").alias("surrogate"))
-    pending, settled = entities, None
+    held = entities.select("kind", F.col("value").alias("surrogate"))
+    pending, settled = entities, entities.limit(0).select("kind", "value", F.col("value").alias("surrogate"))
     for draw in range(max_draws):
         drawn = pending.withColumn("surrogate", replacement(key, F.col("kind"), F.col("value"), F.lit(draw)))
         first = drawn.groupBy("kind", "surrogate").agg(F.min("value").alias("value"))
-        held = taken if settled is None else taken.unionByName(settled.select("kind", "surrogate"))
-        won = rows.written(first.join(held, ["kind", "surrogate"], "left_anti"), "settled")
-        settled = won if settled is None else settled.unionByName(won)
+        won = rows.written(first.join(held, ["kind", "surrogate"], "left_anti"), "settled").select("kind", "value", "surrogate")
+        settled = won if draw == 0 else settled.unionByName(won)
+        held = held.unionByName(won.select("kind", "surrogate"))
         pending = rows.written(pending.join(won, ["kind", "value"], "left_anti"), "pending")
         if pending.isEmpty():
-            return settled.select("kind", "value", "surrogate")
-    raise ValueError(f"entities without a surrogate after {max_draws} draws")
+            return settled
+    return settled.unionByName(_by_number(pending, held, key))
 
 
 def _filled(written: Column, digits: Column) -> Column:
-    """``written`` with its digits replaced in order."""
+    """``written`` with its digits replaced in order, and behind it the digits it has no place for."""
     filled = F.aggregate(
         F.split(written, ""),
         F.struct(F.lit("").alias("out"), F.lit(1).alias("next")),
@@ -229,11 +393,11 @@ def _filled(written: Column, digits: Column) -> Column:
             c.rlike("[0-9]"), F.struct(F.concat(a["out"], F.substr(digits, a["next"], F.lit(1))).alias("out"), (a["next"] + 1).alias("next"))
         ).otherwise(F.struct(F.concat(a["out"], c).alias("out"), a["next"].alias("next"))),
     )
-    return filled["out"]
+    return F.concat(filled["out"], F.substr(digits, filled["next"]))
 
 
 def _cased(written: Column, lower: Column) -> Column:
-    """``lower`` with capitals where ``written``, of the same length, has them."""
+    """``lower`` with capitals where ``written``, which is no longer, has them."""
     return F.array_join(
         F.zip_with(F.split(written, ""), F.split(lower, ""), lambda a, b: F.when(a.rlike("[A-Z]"), F.upper(b)).otherwise(b)), ""
     )
@@ -248,7 +412,8 @@ def _as_written(kind: Column, written: Column, surrogate: Column) -> Column:
         lambda a, c: F.when(
             c == " ", F.struct(F.concat(a["out"], c).alias("out"), a["next"].alias("next"))
         ).otherwise(F.struct(F.concat(a["out"], F.substr(surrogate, a["next"], F.lit(1))).alias("out"), (a["next"] + 1).alias("next"))),
-    )["out"]
+    )
+    spaced = F.concat(spaced["out"], F.substr(surrogate, spaced["next"]))
     return (
         F.when(kind == "phone", _filled(written, national))
         .when(kind.isin("card", "ssn"), _filled(written, surrogate))

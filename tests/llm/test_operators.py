@@ -224,6 +224,40 @@ def test_surrogates_of_a_small_space_stay_distinct(spark):
     assert sorted(r.value for r in found) == taken and len(set(new)) == len(taken) and not set(new) & set(taken)
 
 
+def test_surrogates_of_full_formats_are_settled(spark):
+    values = [("secret", f"{i:02d}") for i in range(70)]
+    # Formats that share replacements, a domain whose addresses are all taken, and values without a letter.
+    values += [("secret", "------"), ("email", "_@-.com")] + [("email", f"{c}@x.org") for c in "abcdefghijklmnopqrstuvwxyz"]
+    values += [("ip", f"192.168.{a}.{b}") for a in range(150) for b in range(256)] + [("ssn", "123456789")]
+    found = surrogates.assign(spark.createDataFrame(values, "kind string, value string")).collect()
+    new = {(r.kind, r.value): r.surrogate for r in found}
+    assert len(found) == len(new) and new.keys() == set(values)
+    assert len(set(new.values())) == len(values) and not set(new.values()) & {v for _, v in values}
+    assert sum(len(new[v]) == 2 for v in values[:70]) == 30
+    inside = sum(new[v].startswith("192.168.") for v in values if v[0] == "ip")
+    assert inside == 254 * 254 - 149 * 254 and all(new[v].startswith(("192.168.", "10.")) for v in values if v[0] == "ip")
+
+
+def test_numbers_give_every_replacement_of_a_format_once(spark):
+    shapes = [("card", "4", "0" * 13, "0", 300), ("ip", "192.168.", "o.o", "", 254 * 254), ("secret", "", "a-0", "", 260),
+              ("name_f", "", "s" * 16, "na", 300), ("phone", "44", "2000000000", "", 300)]
+    df = spark.createDataFrame(shapes, "kind string, prefix string, pattern string, suffix string, n int")
+    listed = df.select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
+    found = listed.select("kind", "pattern", "n", surrogates._numbered("k", F.col("i")).alias("s"), surrogates._space(F.col("pattern")).alias("size")).collect()
+    assert len({(r.kind, r.s) for r in found}) == len(found) == sum(s[-1] for s in shapes)
+    assert {r.size for r in found if r.kind == "ip"} == {254 * 254} and {r.size for r in found if r.kind == "secret"} == {260}
+    for card in (r.s for r in found if r.kind == "card"):
+        assert sum(int(d) if i % 2 == 0 else sum(divmod(2 * int(d), 10)) for i, d in enumerate(reversed(card))) % 10 == 0
+
+
+def test_placeholders_are_no_secrets(spark):
+    texts = ["Password: ________", "token = ----------", "token = __ab12__"]
+    out, count = surrogates.replace_entities(one_column(spark, texts))
+    got = out.orderBy("doc_id").collect()
+    assert [r.text for r in got[:2]] == texts[:2] and [r[count] for r in got] == [0, 0, 1]
+    assert re.fullmatch(r"token = __[a-z]{2}\d\d__", got[2].text) and got[2].text != texts[2]
+
+
 # 6 Decontamination
 
 def test_automaton_against_all_windows():
