@@ -67,7 +67,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document."""
     docs = rows.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.train(docs)
-    found = docs.select("doc_id", langid.predict_column(spark, model, F.col("text")).alias("p"))
+    found = langid.predicted(docs, model)
     return found.select(
         "doc_id", rows.held_out(F.col("doc_id")).alias("held_out"), "p.lang_pred", "p.score", "p.cross_entropy", "p.rejected"
     )

@@ -331,6 +331,34 @@ def test_shares_are_those_of_kneser_ney(spark):
         assert model.word_costs([word])[0][0][i] == pytest.approx(plain)
 
 
+def test_runs_of_a_large_alphabet_stay_apart(spark):
+    rng, slots, seen = random.Random(7), {}, []
+    while len(seen) < 2:
+        word = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(4))
+        run = int(langid.packed([word])[0][3])
+        seen = [slots.setdefault(run % 1_048_573, word), word]
+        seen = seen if seen[0] != seen[1] else []
+    docs = spark.createDataFrame([(i, seen[0], "x") for i in range(40)] + [(i, "abcd", "y") for i in range(40, 80)], "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    assert model.tables[4][0].size == 10
+    for n in range(1, 5):
+        assert not np.isin(langid.low(langid.packed([seen[1]])[0][3:4], n), model.tables[n][0]).any()
+
+
+def test_a_model_in_spark_gives_the_same(spark, sf_dir):
+    docs = rows.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.unionByName(spark.createDataFrame([(None, None, None), (-1, "", "de"), (-2, "123 !?", None), (-3, "ωψξ " * 40, None)], docs.schema))
+    small, large = langid.train(docs), langid.train(docs, collected=0)
+    assert isinstance(large, langid.SpreadModel) and large.languages == small.languages and large.alphabet == small.alphabet
+    assert large.sharpness == small.sharpness and np.allclose(large.limit, small.limit)
+    found = [{(r.doc_id, r.text): r.p for r in langid.predicted(docs, m).collect()} for m in (small, large)]
+    assert found[0].keys() == found[1].keys() and len(found[0]) == docs.distinct().count()
+    for k, p in found[0].items():
+        q = found[1][k]
+        assert (p.lang_pred, p.rejected) == (q.lang_pred, q.rejected) and p.score == pytest.approx(q.score)
+        assert p.cross_entropy == q.cross_entropy or p.cross_entropy == pytest.approx(q.cross_entropy)
+
+
 # 8 SentencePiece
 
 @pytest.fixture(scope="module")
