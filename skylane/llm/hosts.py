@@ -3,8 +3,10 @@
 Labelled page outcomes (bad or not) are counted by host and shrunk down a tree of
 beta-binomial priors: the suffix is drawn towards all pages, the registered domain towards
 its suffix, the host towards its domain. How strongly is estimated from the counts
-themselves, once for each level, by moments: as far as the children's bad counts vary more
-than binomial draws with the parent's rate would, the prior is weak. A host is blocked when
+themselves, once for each level, by maximum likelihood over ``STRENGTHS``: as far as the
+children's bad counts vary more than binomial draws with the parent's rate would, the prior
+is weak. In the likelihood a child has one rate, however many outcomes it has, so that a host
+with most of the rows doesn't decide for the others. A host is blocked when
 the lower bound of its posterior rate, ``BOUND`` standard deviations below its mean, is
 above ``LIMIT``.
 
@@ -21,6 +23,7 @@ of a frequent host.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -42,6 +45,7 @@ BOUND = 2.0
 LIMIT = 0.5
 # A prior is worth at least and at most so many outcomes.
 WEAKEST, STRONGEST = 0.5, 1000.0
+STRENGTHS = tuple(WEAKEST * (STRONGEST / WEAKEST) ** (i / 32) for i in range(33))
 
 
 def _after_scheme(url: Column) -> Column:
@@ -73,16 +77,27 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule] = RULES) ->
     return name, verdict
 
 
+def log_gamma(x: Column) -> Column:
+    """Logarithm of the gamma function of a positive number, by Stirling's series eight above it."""
+    z = x + 8
+    product = x
+    for k in range(1, 8):
+        product = product * (x + k)
+    series = 1 / (12 * z) - 1 / (360 * z * z * z) + 1 / (1260 * z * z * z * z * z)
+    return (z - 0.5) * F.log(z) - z + 0.5 * math.log(2 * math.pi) + series - F.log(product)
+
+
 def _strength(children: DataFrame) -> DataFrame:
     """One row: what the prior is worth, from ``n`` and ``bad`` of children and ``mean`` of their parents."""
-    spread = F.col("mean") * (1 - F.col("mean"))
-    excess = F.sum(F.pow(F.col("bad") - F.col("n") * F.col("mean"), 2.0) - F.col("n") * spread)
-    pairs = F.sum(F.col("n") * (F.col("n") - 1) * spread)
-    share = F.when(pairs > 0, excess / pairs).otherwise(F.lit(0.0))
-    return children.agg(
-        F.when(share > 0, F.least(F.greatest(1 / share - 1, F.lit(WEAKEST)), F.lit(STRONGEST)))
-        .otherwise(F.lit(STRONGEST)).alias("strength")
+    s, n, bad, mean = map(F.col, ("s", "n", "bad", "mean"))
+    likelihood = (
+        log_gamma(bad + s * mean) - log_gamma(s * mean) + log_gamma(n - bad + s * (1 - mean)) - log_gamma(s * (1 - mean))
+        - log_gamma(n + s) + log_gamma(s)
     )
+    # A single outcome is as likely under every strength.
+    tried = children.where("n > 1").select("n", "bad", "mean", F.explode(F.array(*map(F.lit, STRENGTHS))).alias("s"))
+    by_strength = tried.groupBy("s").agg(F.sum(likelihood).alias("likelihood"))
+    return by_strength.agg(F.coalesce(F.max(F.struct("likelihood", "s"))["s"], F.lit(STRONGEST)).alias("strength"))
 
 
 def _shrunk(children: DataFrame) -> DataFrame:

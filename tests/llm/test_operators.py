@@ -58,6 +58,24 @@ def test_reputation_shrinks_towards_the_domain(spark):
     assert all(0 <= r.rate <= 1 and r.lower <= r.rate for r in found.values())
 
 
+def test_a_hot_host_doesnt_clear_the_others(spark):
+    counts = [(f"h{i}.com", 50, 12) for i in range(1000)] + [(f"b{i}.com", 100, 100) for i in range(5)]
+    lower = []
+    for hot in ([], [("hot.com", 25_250, 6_060)], [("hot.com", 252_500, 60_600)]):
+        df = spark.createDataFrame(counts + hot, "host string, n int, bad int")
+        outcomes = df.select("host", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i"), "bad").select("host", (F.col("i") <= F.col("bad")).alias("bad"))
+        found = {r.host: r.lower for r in hosts.reputations(outcomes).collect()}
+        assert found["b0.com"] > hosts.LIMIT > found["h0.com"]
+        lower.append(found["b0.com"])
+    assert max(lower) - min(lower) < 0.01
+
+
+def test_log_gamma(spark):
+    values = [1e-6, 0.01, 0.5, 1.0, 2.5, 7.0, 100.3, 1e6, 1e10]
+    got = one_column(spark, values, "double", "x").orderBy("doc_id").select(hosts.log_gamma(F.col("x"))).collect()
+    assert [r[0] for r in got] == pytest.approx([math.lgamma(v) for v in values], rel=1e-9, abs=1e-9)
+
+
 def test_registered_domains(spark):
     df = one_column(spark, ["a.b.example.co.uk", "co.uk", "x.com", "com", ""], name="host")
     got = [tuple(r) for r in df.orderBy("doc_id").select(*hosts.registered(F.col("host"))).collect()]
