@@ -13,7 +13,8 @@ stands (navigation, asides, forms, comment sections and the like). What the page
 averaged with what fixed lists of names let expect, so that pages without a landmark, and a model
 without a sample, are decided as well; no single look weighs more than ``MOST`` nats.
 
-Scripts, styles, templates and the head never are text. References are decoded, white
+Scripts, styles, templates and what the head may hold never are text; the head ends at the
+first element that can't stand in it, also without an end tag. References are decoded, white
 space within a block becomes one blank, blocks are joined by a line break in page order. A
 null or empty page, and one without content, has empty text. Unclosed elements end where
 the standard ends them or with the page; a tag that the page's end cuts off is dropped.
@@ -41,7 +42,7 @@ MOST = 10.0
 FRAME, CONTENT, BOILERPLATE = range(3)
 
 # Element names of the standard by role, and names that sites give blocks.
-RAW = ("script", "style", "template", "noscript", "textarea", "title", "select", "svg", "iframe", "head")
+RAW = ("script", "style", "template", "noscript", "textarea", "title", "select", "svg", "iframe")
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 BLOCKS = frozenset(
     "html body address article aside blockquote center dd details dialog div dl dt fieldset figcaption figure footer "
@@ -72,6 +73,8 @@ KEEPS_OPEN = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<data>.*?)\]\]>"
+    # An svg element can be empty; a slash at the end of an unquoted value is the value's.
+    r"|<svg(?=[\s/])(?:[^>\"'=/]|/(?!>)|=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]++))*+/>"
     rf"|<(?P<raw>{'|'.join(RAW)})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?][^>]*(?:>|\Z)|</[^>]*>|<[a-zA-Z/][^<>]*\Z",

@@ -108,6 +108,10 @@ LAYOUTS = [
      "Title of it\nThe real text is here.\nAnd more."),
     ("<main><p>a<script>var x='<p>';</script>b<style>p{}</style><!-- <p>c</p> --></p></main>", "ab"),
     ("", ""), (None, ""), ("<p", ""),
+    ("<html><head><title>Name</title><style>p{}</style><meta charset=utf-8><body><article><h1>T</h1><p>abc def</p></article>", "T\nabc def"),
+    ("<head><title>Name</title><script>x</script></head><body><article><p>abc</p></article></body>", "abc"),
+    ("<article><p>abc <svg class='icon' viewBox=\"0 0 1 1\"/> def <svg hidden/>ghi</p><p>jkl<svg><title>t</title></svg></p></article>", "abc def ghi\njkl"),
+    ("<article><p>abc <svg class=icon/>drawing</svg> def <svg><g/>drawing</svg></p></article>", "abc def"),
 ]
 
 
