@@ -173,13 +173,20 @@ def repair_from_file(spark, sf_dir):
     return dimensions.repair_by_mapping(cameras, lookups.district_repairs(spark, path), "id", "district")
 
 
+def write_in_folders(pages, path, rows_per_file=10_000):
+    """Pages as text in 32 folders; tasks and files grow in number with the pages, not in size."""
+    run = F.floor(F.col("page_id") / (32 * rows_per_file))
+    dealt = pages.select((F.col("page_id") % 32).alias("folder"), F.col("html").alias("value"), run.alias("run"))
+    dealt = dealt.repartition("folder", "run").drop("run")
+    dealt.write.option("maxRecordsPerFile", rows_per_file).partitionBy("folder").text(path)
+
+
 @query("image_files", """
 SELECT page_id % 32 AS folder, CAST(sum(octet_length(encode(html)) + 1) AS BIGINT) AS bytes FROM pages GROUP BY 1""")
 def image_files(spark, sf_dir):
     """Files of 32 folders, written from a table, read as bytes."""
     path = workspace.new_dir(spark, "images")
-    pages = table(spark, sf_dir, "pages").select((F.col("page_id") % 32).alias("folder"), F.col("html").alias("value"))
-    pages.repartition("folder").write.partitionBy("folder").text(path)
+    write_in_folders(table(spark, sf_dir, "pages"), path)
     images = lake.read_images(spark, path, "*.txt")
     folder = F.regexp_extract("path", r"folder=(\d+)/", 1).cast("bigint")
     return images.groupBy(folder.alias("folder")).agg(F.sum(F.length("content")).alias("bytes"))
