@@ -1,4 +1,4 @@
-"""The queries of the ten operators and of the pipeline, with SQL where SQL can say it."""
+"""The queries of the operators and of the pipeline, with SQL where SQL can say it."""
 
 from __future__ import annotations
 
@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from skylane.llm import (
-    decontaminate, extract, hosts, langid, linededup, neardup, pieces, rows, rules, sql, surrogates, toxicity,
+    decontaminate, divergence, extract, hosts, langid, linededup, neardup, pieces, rows, rules, sql, suffixes, surrogates,
+    toxicity, whiten,
 )
 
 
@@ -92,9 +93,31 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", F.col(n_lines).alias("n_lines"), F.col(n_removed).alias("n_removed"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the byte strings that stand elsewhere too, as digests."""
+    docs = rows.table(spark, sf_dir, "documents").select("doc_id", "text")
+    found, name = suffixes.remove_repeats(docs)
+    cut = F.col(name)
+    return found.select(
+        "doc_id", cut["n_bytes"].alias("n_bytes"), cut["n_removed"].alias("n_removed"),
+        F.size(cut["spans"]).cast("long").alias("n_spans"), F.sha2(cut["kept"], 256).alias("kept_sha256"),
+    )
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances of the sources of each language, and the terms that stand out in each."""
+    return divergence.audit(rows.table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coordinates of every vector in the first components."""
+    return whiten.coordinates(rows.table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 _OPERATORS = (
     op1_host_reputation, op2_html_main_text, op3_quality_rules, op4_toxicity, op5_pii_surrogates, op6_decontamination,
     op7_language_id, op8_sentencepiece, op9_near_duplicates, op10_line_dedup,
+    op11_suffix_dedup, op12_source_divergence, op13_embedding_whitening,
 )
 
 
@@ -105,6 +128,6 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     found = {
         "op1_host_reputation": sql.HOSTS, "op3_quality_rules": sql.RULES, "op6_decontamination": sql.DECONTAMINATION,
-        "op10_line_dedup": sql.LINE_DEDUP, "pipeline": corpus_pipeline.ORACLE_SQL,
+        "op10_line_dedup": sql.LINE_DEDUP, "op12_source_divergence": sql.DIVERGENCE, "pipeline": corpus_pipeline.ORACLE_SQL,
     }
     return {name: text for name, text in found.items() if text is not None}

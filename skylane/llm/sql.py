@@ -127,3 +127,34 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL WHEN n_removed > 0 AND n_rem
   coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed
 FROM documents d LEFT JOIN kept k USING (doc_id)
 """
+
+DIVERGENCE = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+  FROM documents),
+seen AS (SELECT d, lang, source, unnest(ws) AS term FROM docs),
+kept AS (SELECT lang, term FROM seen GROUP BY lang, term HAVING count(DISTINCT d) >= 30),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+counted AS (SELECT lang, source, term, count(*) AS n FROM seen JOIN kept USING (lang, term) GROUP BY lang, source, term),
+own AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN counted USING (lang, source) GROUP BY lang, source),
+cells AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n, 1 + (1000000000 * (coalesce(n, 0) + 5)::HUGEINT) // (total + 5 * v)::HUGEINT AS p
+  FROM own JOIN kept USING (lang) JOIN sizes USING (lang) LEFT JOIN counted USING (lang, source, term)),
+overall AS (
+  SELECT lang, term, 1 + (1000000000 * (n + 5)::HUGEINT) // (total + 5 * v)::HUGEINT AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM counted GROUP BY lang, term) JOIN (SELECT lang, sum(total) AS total FROM own GROUP BY lang) USING (lang) JOIN sizes USING (lang)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0)::BIGINT AS value
+  FROM own a JOIN own b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN cells x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN cells y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY a.lang, a.source, b.source),
+terms AS (
+  SELECT lang, source, term AS item, (p - q)::BIGINT AS value FROM cells JOIN overall USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, rank FROM (
+  SELECT lang, source, part, item, value, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)))::INTEGER AS rank
+  FROM (SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL SELECT lang, source, 'term', item, value FROM terms))
+WHERE part = 'pair' OR rank <= 50
+"""

@@ -19,7 +19,7 @@ def test_query_matches_sql(name, spark, sf_dir):
     assert difference(QUERIES[name](spark, sf_dir), connect(sf_dir), SQL[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"pipeline"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"pipeline", "op12_source_divergence", "op13_embedding_whitening"}))
 def test_every_row_of_the_table_has_a_result(name, spark, sf_dir):
     table, key = ("pages", "page_id") if name[:4] in ("op1_", "op2_") else ("documents", "doc_id")
     found = QUERIES[name](spark, sf_dir)
@@ -28,7 +28,7 @@ def test_every_row_of_the_table_has_a_result(name, spark, sf_dir):
 
 
 def test_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")) == list(range(1, 14))
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "toxicity", "line_dedup", "near_dedup", "decontamination", "sentencepiece",
     ]
@@ -40,6 +40,9 @@ def test_names():
     ("op4_toxicity", {"held_out": "boolean", "score": "double", "predicted": "int"}),
     ("op6_decontamination", {"n_hit": "bigint", "n_items": "bigint", "items_sha256": "string", "contaminated": "boolean"}),
     ("op7_language_id", {"held_out": "boolean", "lang_pred": "string", "score": "double"}),
+    ("op11_suffix_dedup", {"n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string"}),
+    ("op12_source_divergence", {"lang": "string", "source": "string", "part": "string", "item": "string", "value": "bigint", "rank": "int"}),
+    ("op13_embedding_whitening", {"component": "int", "n": "bigint", "deviation": "bigint", "whitened": "double", "explained": "double", "identity_error": "double"}),
 ])
 def test_contracts(name, kinds, spark, sf_dir):
     types = dict(QUERIES[name](spark, sf_dir).dtypes)
@@ -96,6 +99,9 @@ def odd_dir(spark, tmp_path_factory):
         spark.createDataFrame([] if empty else pages, "page_id long, url string, html string, host string").write.parquet(f"{folder}/pages.parquet")
         labels = [(3, 1, 0), (3, 0, 1), (None, 1, 1), (5, None, None), (1, 0, 1), (7, 1, 0)]
         spark.createDataFrame([] if empty else labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        vectors = [(1, [0.5, -1.0, 2.0], 0), (1, [0.5, -1.0, 2.0], 0), (2, [1.0, 0.25, 0.0], 1), (None, [-3.0, 1.5, 0.75], None), (3, None, 0),
+                   (4, [], 0), (5, [1.0, None, 0.0], 0), (6, [1.0, float("nan"), 0.0], 0), (7, [float("inf"), 0.0, 0.0], 0), (8, [1.0], 0)]
+        spark.createDataFrame([] if empty else vectors, "vec_id long, embedding array<float>, n int").write.parquet(f"{folder}/embeddings.parquet")
         items = [(1, "line 5 of a very"), (2, None), (None, "one"), (3, ""), (1, "d e f")]
         spark.createDataFrame([] if empty else items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
         if not empty:
@@ -110,7 +116,7 @@ def test_odd_and_empty_tables(name, spark, odd_dir):
         found = QUERIES[name](spark, folder)
         n = found.count()
         found.collect()
-        if name != "pipeline":
+        if name not in ("pipeline", "op12_source_divergence", "op13_embedding_whitening"):
             assert n == (rows.table(spark, folder, table).count() if table else 0)
 
 
