@@ -5,7 +5,7 @@ the table. Every byte of a repeated window goes. Windows never cross documents.
 
 Which suffixes are sorted: each window names one of its positions, its anchor, where the hash
 of the next ``gram`` bytes is least, the leftmost of equals. Equal windows have their anchors at the same offset,
-and neighbouring windows mostly share one, so about one position in seventy is an anchor. The
+and neighbouring windows mostly share one, so about one position in eighty is an anchor. The
 windows of an anchor make up its span: what lies right of the anchor is the suffix to sort, cut
 at the last window's end, and what lies left of it goes with it.
 
@@ -49,7 +49,7 @@ from skylane.llm import rows
 
 LENGTH = 200
 # Bytes of texts that become one range of suffixes, and of suffixes in one sorted run.
-RANGE_BYTES, RUN_BYTES = 8 << 20, 24 << 20
+RANGE_BYTES, RUN_BYTES = 8 << 20, 16 << 20
 # Bytes of texts whose spans are sampled, and spans taken from them, about.
 SAMPLE_BYTES, SAMPLE_SPANS = 64 << 20, 20_000
 _PIECE = 1 << 20
@@ -59,8 +59,8 @@ _RUN, _SETTLED = b"r", b"s"
 
 
 def gram_of(length: int) -> int:
-    """The anchor's bytes: the greatest power of two up to a third of the window."""
-    return 1 << (max(1, length // 3).bit_length() - 1)
+    """The anchor's bytes: the greatest power of two up to a sixth of the window."""
+    return 1 << (max(1, length // 6).bit_length() - 1)
 
 
 def anchors(data: bytes, starts: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -161,7 +161,7 @@ def front_coded(run: list[Suffix]) -> bytes:
         np.array(shared, np.uint16), np.array([len(x.right) for x in run], np.uint16), np.array([len(x.left) for x in run], np.uint16),
         *(np.array([getattr(x, c) for x in run], np.int64) for c in ("file", "row", "place")),
     )
-    return zstandard.ZstdCompressor(1).compress(b"".join((struct.pack("<q", len(run)), *(c.tobytes() for c in columns), body)))
+    return zstandard.ZstdCompressor(3).compress(b"".join((struct.pack("<q", len(run)), *(c.tobytes() for c in columns), body)))
 
 
 def decoded(blob: bytes) -> Iterator[tuple[int, Suffix]]:
