@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from skylane import schemas
 from skylane.operators import sinks
 from skylane.operators.latest import latest_per_key
+from skylane.sources import lake
 
 # ``object_pos`` tells the objects of one frame apart. With the first two columns
 # alone a frame's objects replace each other.
@@ -140,3 +141,98 @@ def merge_parts(
     monthly = rows.drop(BATCH).withColumn(MONTH, F.date_format(date_column, "yyyyMM"))
     sinks.overwrite_partitions(monthly, table_root, [MONTH], list(keys))
     return max(through, after)
+
+
+# Beside the table: months that are merged but not yet in their places.
+INCOMING = "__incoming"
+_NO_MONTH = "000000"
+
+
+def _month(date_column: str) -> Column:
+    """The month of a row's date, else of its time; rows without both share one folder."""
+    return F.coalesce(F.date_format(date_column, "yyyyMM"), F.date_format("ts", "yyyyMM"), F.lit(_NO_MONTH))
+
+
+def _standing(spark: SparkSession, root: str) -> set[str]:
+    prefix = f"{MONTH}="
+    return {n.removeprefix(prefix) for n in lake.subfolders(spark, root) if n.startswith(prefix)}
+
+
+def finish_merge(spark: SparkSession, table_root: str) -> None:
+    """Put merged months into their places, also after a driver was lost while it did so.
+
+    The merged months are complete in a folder beside the table until this is done, so it may
+    be done again.
+    """
+    incoming = table_root + INCOMING
+    if lake.exists(spark, f"{incoming}/_SUCCESS"):
+        if _standing(spark, incoming):
+            months = spark.read.option("basePath", incoming).parquet(incoming)
+            keep_text = months.withColumn(MONTH, F.lpad(F.col(MONTH).cast("string"), 6, "0"))
+            keep_text.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(table_root)
+        lake.remove(spark, incoming)
+
+
+def merge_months(
+    spark: SparkSession,
+    parts_root: str,
+    table_root: str,
+    keys: Sequence[str],
+    now: Column | None = None,
+    days: int | None = RETENTION_DAYS,
+    date_column: str = "dt",
+    after: int = -1,
+    live: bool = False,
+) -> int:
+    """Merge later parts into the monthly table, writing only the months they name.
+
+    ``after`` is the last part that the table contains; parts up to it aren't opened, and neither
+    are the months that no later part names. Returns the last part merged, for the next call.
+    Merging the same parts again gives the same table. Rows replace each other within
+    their month. ``live`` leaves the newest part of a running stream for the next merge.
+
+    Rows older than ``days`` before ``now``, by default the current time, go; None keeps all. Months
+    that ended a day before that limit are dropped unread, since a row's date is its day in some time zone; later ones are
+    kept unread. The month or two at the limit are looked at, and rewritten if they hold such rows.
+    """
+    finish_merge(spark, table_root)
+    now = F.current_timestamp() if now is None else now
+    limit = now - F.make_interval(days=F.lit(days)) if days is not None else None
+    later = later_parts(spark, parts_root, after)
+    newest = later.agg(F.max(BATCH)).first()[0]
+    through = after if newest is None else newest - int(live)
+    rows = later.filter(F.col(BATCH) <= through).withColumn(MONTH, _month(date_column))
+    standing = _standing(spark, table_root)
+    expired, edge = set(), set()
+    if limit is not None:
+        rows = unexpired(rows, now, days)
+        day = F.make_dt_interval(days=F.lit(1))
+        first, last = spark.range(1).select(
+            F.date_format(limit - day, "yyyyMM"), F.date_format(limit + day, "yyyyMM")
+        ).first()
+        expired = {m for m in standing if m < first}
+        edge = {m for m in standing if first <= m <= last}
+    # As many values as the later parts have months.
+    touched = {r[0] for r in rows.select(MONTH).distinct().collect()}
+    if edge - touched:
+        held = _of_months(spark, table_root, edge - touched)
+        touched |= {r[0] for r in held.filter(~F.coalesce(F.col("ts") > limit, F.lit(False))).select(MONTH).distinct().collect()}
+    if touched:
+        if touched & standing:
+            old = _of_months(spark, table_root, touched & standing).withColumn(BATCH, F.lit(after))
+            rows = rows.unionByName(old if limit is None else unexpired(old, now, days), allowMissingColumns=True)
+        merged = current_rows(rows, [*keys, MONTH])
+        sinks.overwrite_partitions(merged.drop(BATCH), table_root + INCOMING, [MONTH], list(keys), whole=True)
+        emptied = touched & standing - _standing(spark, table_root + INCOMING)
+        finish_merge(spark, table_root)
+        expired |= emptied
+    for month in sorted(expired):
+        lake.remove(spark, f"{table_root}/{MONTH}={month}")
+    return max(through, after)
+
+
+def _of_months(spark: SparkSession, table_root: str, months: set[str]) -> DataFrame:
+    """Rows of these months; no other month's files are listed."""
+    places = [f"{table_root}/{MONTH}={m}" for m in sorted(months)]
+    df = spark.read.option("basePath", table_root).parquet(*places)
+    return df.withColumn(MONTH, F.lpad(F.col(MONTH).cast("string"), 6, "0"))

@@ -57,18 +57,19 @@ def write_event_lake(
 
 
 def overwrite_partitions(
-    df: DataFrame, path: str, partition_by: Sequence[str], sort_by: Sequence[str] = ()
+    df: DataFrame, path: str, partition_by: Sequence[str], sort_by: Sequence[str] = (), whole: bool = False
 ) -> None:
-    """Replace only the Parquet partitions present in ``df``; the others stay.
+    """Replace only the Parquet partitions present in ``df``; the others stay, or go if ``whole``.
 
-    Any number of tasks writes one partition, so a very large one is no bottleneck.
+    Any number of tasks writes one partition, so a very large one is no bottleneck. A folder that
+    is replaced as a whole gets its ``_SUCCESS`` file last.
     """
     balanced = df.hint("rebalance", *[F.col(c) for c in partition_by])
     if sort_by:
         balanced = balanced.sortWithinPartitions(*partition_by, *sort_by)
     (
         balanced.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
     )

@@ -481,6 +481,36 @@ def serving_merge(spark, sf_dir):
     return plain_types(spark.read.parquet(second).select("cam_id", "ts", "object_pos", "temp_c", serving.MONTH))
 
 
+_LATE = "o_orderkey % 7 = 0 AND o_orderdate < (SELECT min(o_orderdate) + INTERVAL 40 DAY FROM orders)"
+
+
+@query("serving_merge_months", f"""
+WITH loads AS (
+  SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice AS price, 0 AS part FROM orders
+  UNION ALL SELECT o_orderkey, o_custkey, o_orderdate, -o_totalprice, 1 FROM orders WHERE {_LATE})
+SELECT 'cam' || (o_custkey % 50) AS cam_id, o_orderkey AS object_pos, CAST(o_orderdate AS DATE)::VARCHAR AS dt, price,
+       CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS yyyymm
+FROM loads WHERE o_orderdate > (SELECT min(o_orderdate) + INTERVAL 20 DAY FROM orders)
+QUALIFY row_number() OVER (PARTITION BY o_custkey % 50, o_orderkey, o_orderdate ORDER BY part DESC) = 1""")
+def serving_merge_months(spark, sf_dir):
+    """All months in one part, then a part of late rows for the oldest months, then rows of the first days expire."""
+    orders = table(spark, sf_dir, "orders")
+    rows = orders.select(
+        F.concat(F.lit("cam"), (F.col("o_custkey") % 50).cast("string")).alias("cam_id"),
+        F.col("o_orderkey").alias("object_pos"), F.col("o_orderdate").cast("timestamp").alias("ts"),
+        F.to_date("o_orderdate").alias("dt"), F.col("o_totalprice").alias("price"),
+    )
+    parts, merged = workspace.new_dir(spark, "parts"), workspace.new_dir(spark, "months")
+    serving.append_part(rows, parts, 0)
+    through = serving.merge_months(spark, parts, merged, serving.DEFAULT_KEY, days=None)
+    first = rows.agg(F.min("dt")).first()[0]
+    late = rows.filter((F.col("object_pos") % 7 == 0) & (F.col("dt") < F.date_add(F.lit(first), 40)))
+    serving.append_part(late.withColumn("price", -F.col("price")), parts, 1)
+    now = F.date_add(F.lit(first), 20 + serving.RETENTION_DAYS).cast("timestamp")
+    serving.merge_months(spark, parts, merged, serving.DEFAULT_KEY, now, after=through)
+    return plain_types(spark.read.parquet(merged).drop("ts"))
+
+
 @query("city_locations", f"""
 SELECT '{SITE}/en/vn/' || 'district-' || c_nationkey || '/' || c_custkey || '/current-weather/' || c_custkey
          AS district_url,

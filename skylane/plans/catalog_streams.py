@@ -20,7 +20,7 @@ from skylane.plans.catalog_lake import EVENT_SCHEMA, _DAILY_LAST
 from skylane.plans.derive import TRAFFIC_CLEAN_SQL, WEATHER_CLEAN_SQL, last_reading_sql, table
 from skylane.plans.registry import ORACLES, query
 from skylane.sources import lake
-from skylane.streaming import queries
+from skylane.streaming import lake_sync, queries
 
 
 def _drained(spark: SparkSession, label: str, df: DataFrame) -> DataFrame:
@@ -93,7 +93,7 @@ def stream_bucket_join(spark, sf_dir):
     joined = queries.join_bucket_stream(
         _as_stream(spark, "traffic-clean", traffic), _as_stream(spark, "weather-clean", weather)
     )
-    rows = _drained(spark, "joined", joined).filter(F.col("cam_id") != _CLOSING)
+    rows = _drained(spark, "joined", joined).filter(~F.col("cam_id").eqNullSafe(_CLOSING))
     return plain_types(flat_box(rows))
 
 
@@ -149,6 +149,37 @@ def sync_events_job(spark, sf_dir):
     return lake.read_events(spark, root, T.StructType([*EVENT_SCHEMA.fields, T.StructField("hour", T.IntegerType())]))
 
 
+def _synced_topic(spark, sf_dir, label: str) -> str:
+    """A lake that the batch sync filled from the events and one message in ten that can't be read."""
+    at = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    events = table(spark, sf_dir, "events")
+    good = events.select(F.to_json(F.struct("event_id", at.alias("timestamp"), "event_type")).alias("value"))
+    broken = events.filter("event_id % 10 = 0").select(F.concat(F.lit('{"event_id": '), F.col("event_id")).alias("value"))
+    root = workspace.new_dir(spark, label)
+    stream = _as_stream(spark, "topic", good.unionByName(broken).select(F.col("value").cast("binary").alias("value")))
+    lake_sync.sync_batches(stream, root, workspace.new_dir(spark, f"{label}-checkpoint"), rows_per_writer=5000).awaitTermination()
+    return root
+
+
+@query("sync_report", """
+SELECT strftime(ts, 'year=%Y/month=%m/day=%d/hour=%H') AS partition_path, count(*) AS messages, 0::BIGINT AS malformed
+FROM events GROUP BY 1
+UNION ALL SELECT NULL, count(*), count(*) FROM events WHERE event_id % 10 = 0 HAVING count(*) > 0""")
+def sync_report(spark, sf_dir):
+    """What a run of the batch sync wrote, by folder; malformed messages have no folder of an hour."""
+    report = lake_sync.sync_report(spark, _synced_topic(spark, sf_dir, "reported"))
+    return report.groupBy("partition_path").agg(F.sum("messages").alias("messages"), F.sum("malformed").alias("malformed"))
+
+
+@query("sync_day", """
+SELECT event_id, event_type FROM events WHERE CAST(ts AS DATE) = (SELECT CAST(min(ts) AS DATE) FROM events)""")
+def sync_day(spark, sf_dir):
+    """The first day of a lake that the batch sync filled, read from its own folders."""
+    day = table(spark, sf_dir, "events").agg(F.min("ts")).first()[0].date()
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType())])
+    return lake.read_events(spark, _synced_topic(spark, sf_dir, "one-day"), schema, day)
+
+
 def _stub_predictor():
     """Stands for a model: everything it reports follows from the number of bytes."""
     def one(blob: bytes):

@@ -18,7 +18,7 @@ from skylane.functions import markup, timeparts
 from skylane.operators import audit, clean, dimensions, enrich, sinks
 from skylane.operators import pages as page_rows
 from skylane.sources import kafka, lake
-from skylane.streaming import queries
+from skylane.streaming import lake_sync, queries
 
 TRAFFIC_TOPIC = "traffic-object-raw"
 WEATHER_TOPIC = "weather-raw"
@@ -115,9 +115,12 @@ def sync_events(
     messages: DataFrame, base: str, topic: str, checkpoint: str, zone: str | None = None,
     level: str = "hour", time_field: str = "timestamp",
 ) -> StreamingQuery:
-    """Drain a topic into the raw zone. Run it on a schedule; offsets are in the checkpoint."""
+    """Drain a topic into the raw zone. Run it on a schedule; offsets are in the checkpoint.
+
+    :func:`skylane.streaming.lake_sync.sync_report` tells what each batch wrote.
+    """
     root = raw_event_root(base, topic)
-    return queries.sync_lake(messages, root, checkpoint, level, zone, time_field=time_field)
+    return lake_sync.sync_batches(messages, root, checkpoint, level, zone, time_field=time_field)
 
 
 def publish_clean_weather(

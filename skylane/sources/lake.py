@@ -11,7 +11,9 @@ from pyspark.sql import types as T
 
 from skylane.functions import measures
 
-PARTITION_COLUMNS = ("year", "month", "day", "hour")
+# Folders of one batch of a sync, and the table of those that were committed.
+SYNC_BATCH, COMMITS = "sync_batch", "_commits"
+PARTITION_COLUMNS = ("year", "month", "day", "hour", SYNC_BATCH)
 
 
 def run_date(value: "str | dt.date | None", interval_start: dt.date | None = None) -> dt.date:
@@ -36,11 +38,11 @@ def read_events(
 ) -> DataFrame:
     """JSON-lines events of one day, one year or the whole root.
 
-    A day of a root without a streaming sink's commit log is read from its own directory.
-    With such a log the root is read and filtered by partition: naming the directory would
-    bypass the log, and with it the guarantee that every event counts once. Partition
-    columns are dropped: they are event time over again. What could not be placed in time
-    is left out unless ``quarantined`` asks for it.
+    A day is read from its own directory, and of a root with a table of commits only what the
+    day's committed batches wrote. With a streaming sink's own log the root is read and filtered
+    by partition: naming the directory would bypass the log, and with it the guarantee that every
+    event counts once. Partition columns are dropped: they are event time over again. What could
+    not be placed in time is left out unless ``quarantined`` asks for it.
     """
     reader, place = spark.read, root
     if day is not None and not exists(spark, f"{root}/_spark_metadata"):
@@ -50,10 +52,10 @@ def read_events(
         reader = reader.option("basePath", root)
     if set(schema.names) & set(PARTITION_COLUMNS):
         # A field called like a partition column would get the directory's value.
-        lines = reader.text(place)
-        df, fields = lines, F.from_json("value", schema)
+        df, fields = reader.text(place), F.from_json("value", schema)
     else:
         df, fields = reader.schema(schema).json(place), None
+    df = _committed(df, root, day)
     if "year" in df.columns:
         if day is not None:
             df = df.filter((df.year == day.year) & (df.month == day.month) & (df.day == day.day))
@@ -66,12 +68,50 @@ def read_events(
     return df.select(*[f"`{name}`" for name in schema.names])
 
 
+def commits(spark: SparkSession, root: str) -> DataFrame:
+    """The table of committed batches below ``root``, one row for each folder that a batch wrote."""
+    return spark.read.parquet(f"{root}/{COMMITS}")
+
+
+def _committed(df: DataFrame, root: str, day: dt.date | None = None) -> DataFrame:
+    """Rows of committed batches; all rows where the root has no table of commits."""
+    spark = df.sparkSession
+    if SYNC_BATCH not in df.columns or not exists(spark, f"{root}/{COMMITS}"):
+        return df
+    done = commits(spark, root)
+    if day is None:
+        return df.join(done.select(SYNC_BATCH).distinct(), SYNC_BATCH, "left_semi")
+    # As many batches as wrote to the day: a filter on folders.
+    in_day = done.filter(
+        (F.col("year") == f"{day.year:04d}") & (F.col("month") == f"{day.month:02d}") & (F.col("day") == f"{day.day:02d}")
+    )
+    return df.filter(F.col(SYNC_BATCH).isin([r[0] for r in in_day.select(SYNC_BATCH).distinct().collect()]))
+
+
+def lines(spark: SparkSession, root: str) -> DataFrame:
+    """The lake's text with its partition columns, committed batches only where the root tells them."""
+    return _committed(spark.read.text(root), root)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a file or folder, wherever the path's file system is."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``; nothing below them is listed."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in files.listStatus(place) if f.isDirectory()) if files.exists(place) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what is in it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def read_staged(spark: SparkSession, root: str, day: dt.date | None = None) -> DataFrame:
     """Parquet rows of a zone, partitioned like the events, of one day or all."""
     df = spark.read.parquet(root)

@@ -18,7 +18,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 from skylane.functions import records, timeparts
 from skylane.operators import serving, sinks
 from skylane.operators.lookup import lookup_join, spread_salt
-from skylane.sources import kafka
+from skylane.sources import kafka, lake
 
 # A file gets at most so many messages of a partition; gzip can't be split on read.
 MAX_RECORDS_PER_FILE = sinks.MAX_RECORDS_PER_FILE
@@ -38,7 +38,7 @@ def file_stream(
     return reader.load(path)
 
 
-def _append(df: DataFrame, checkpoint: str, drain: bool) -> DataStreamWriter:
+def append_writer(df: DataFrame, checkpoint: str, drain: bool) -> DataStreamWriter:
     writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True) if drain else writer
 
@@ -52,7 +52,7 @@ def to_files(
     drain: bool = True,
 ) -> StreamingQuery:
     """Append to files; ``drain`` processes what is there and then stops."""
-    writer = _append(df, checkpoint, drain).format(fmt)
+    writer = append_writer(df, checkpoint, drain).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     return writer.start(path)
@@ -91,27 +91,31 @@ def sync_lake(
     reads leave out. Each partition of a batch is written by at most ``writers`` tasks,
     in files of at most ``max_records`` messages.
     """
-    text = F.col("value").cast("string")
-    schema = T.StructType([T.StructField(time_field, T.StringType())])
-    parsed = records.parse_json(text, schema, kafka.CORRUPT)
-    located = messages.select(
-        F.regexp_replace(text, r"[\r\n]+", " ").alias("value"), parsed.alias("data")
-    ).select(
-        "value",
-        F.when(
-            F.col("data").getField(kafka.CORRUPT).isNull(), timeparts.to_timestamp(F.col("data").getField(time_field))
-        ).alias("_ts"),
-    )
-    placed = sinks.with_partitions(located, "_ts", level, zone).drop("_ts")
+    placed = placed_messages(messages, level, zone, time_field).drop("malformed")
     levels = timeparts.levels_down_to(level)
     gathered = placed.repartition(*levels, F.pmod(F.xxhash64("value"), F.lit(writers)))
-    writer = _append(gathered, checkpoint, drain).format("text").option("compression", "gzip")
+    writer = append_writer(gathered, checkpoint, drain).format("text").option("compression", "gzip")
     return writer.option("maxRecordsPerFile", max_records).partitionBy(*levels).start(path)
 
 
+def placed_messages(messages: DataFrame, level: str, zone: str | None, time_field: str) -> DataFrame:
+    """``value`` in one line, whether it is ``malformed``, and the lake's partition columns, NULL without a readable time."""
+    text = F.col("value").cast("string")
+    schema = T.StructType([T.StructField(time_field, T.StringType())])
+    parsed = messages.select(
+        F.regexp_replace(text, r"[\r\n]+", " ").alias("value"), records.parse_json(text, schema, kafka.CORRUPT).alias("data")
+    )
+    well = F.col("data").getField(kafka.CORRUPT).isNull()
+    located = parsed.select(
+        "value", (~well).alias("malformed"),
+        F.when(well, timeparts.to_timestamp(F.col("data").getField(time_field))).alias("at"),
+    )
+    return sinks.with_partitions(located, "at", level, zone).drop("at")
+
+
 def quarantined(spark: SparkSession, path: str) -> DataFrame:
     """Messages the lake could not place in time."""
-    return spark.read.text(path).filter(F.col("year").isNull()).select("value")
+    return lake.lines(spark, path).filter(F.col("year").isNull()).select("value")
 
 
 def join_bucket_stream(
@@ -163,7 +167,7 @@ def upsert_parts(df: DataFrame, root: str, checkpoint: str, drain: bool = True)
     def write(batch: DataFrame, batch_id: int) -> None:
         serving.append_part(batch, root, batch_id)
 
-    return _append(df, checkpoint, drain).foreachBatch(write).start()
+    return append_writer(df, checkpoint, drain).foreachBatch(write).start()
 
 
 def lookup_static(
@@ -181,4 +185,4 @@ def lookup_static(
     def write(batch: DataFrame, batch_id: int) -> None:
         lookup_join(batch, read_lookup(), on).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    return _append(df, checkpoint, drain).foreachBatch(write).start()
+    return append_writer(df, checkpoint, drain).foreachBatch(write).start()
