@@ -185,11 +185,15 @@ def automata(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOC
         yield Automaton(window).build(sorted(items))
 
 
-def _matcher(spark: SparkSession, automaton: Automaton):
-    """Column function of a text and of what earlier blocks matched."""
+def _matcher(spark: SparkSession, automaton: Automaton, shorten: bool = False):
+    """Column function of a text and of what earlier blocks matched.
+
+    With ``shorten`` the match has a ``text`` without the spans as well, null where there are none.
+    """
     shared = spark.sparkContext.broadcast(automaton)
+    kind = pa.struct([*_MATCH, pa.field("text", pa.string())]) if shorten else _MATCH
 
-    @F.arrow_udf(MATCH)
+    @F.arrow_udf(f"{MATCH}, text string" if shorten else MATCH)
     def match(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         machine = shared.value
         for texts, earlier in rows.slices(batches):
@@ -204,24 +208,31 @@ def _matcher(spark: SparkSession, automaton: Automaton):
                     "n_words": len(ws),
                     "spans": [{"start": a, "end": b} for a, b in spans],
                     "items": sorted(items),
+                    "text": cut(text, spans) if shorten and spans else None,
                 })
-            yield pa.array(found, _MATCH)
+            yield pa.array(found, kind)
 
     return match
 
 
 def match_documents(
-    docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS,
+    shorten: bool = False,
 ) -> tuple[DataFrame, str]:
-    """``docs`` with a column of matches, and its name: words, hit spans and item names."""
+    """``docs`` with a column of matches, and its name: words, hit spans and item names.
+
+    With ``shorten`` the last block's match has the text without the spans, null where nothing was hit.
+    """
     name = rows.fresh(docs, "contamination")
-    out = None
-    for automaton in automata(benchmark, window, block_words):
+    out, blocks = None, automata(benchmark, window, block_words)
+    following = next(blocks)
+    while following is not None:
+        automaton, following = following, next(blocks, None)
         before = F.lit(None).cast(f"struct<{MATCH.replace('n_words long', 'n_words:bigint').replace('spans a', 'spans:a').replace('items a', 'items:a')}>")
         if out is not None:
             out, before = rows.written(out, "decontaminate"), F.col(name)
         out = (docs if out is None else out).withColumn(
-            name, _matcher(docs.sparkSession, automaton)(F.col(f"`{text}`"), before)
+            name, _matcher(docs.sparkSession, automaton, shorten and following is None)(F.col(f"`{text}`"), before)
         )
     return out, name
 
@@ -246,23 +257,6 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def without(text: Column, spans: Column) -> Column:
-    """The text column without the words of its spans."""
-
-    @F.arrow_udf("string")
-    def shorten(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for texts, found in rows.slices(batches):
-            yield pa.array(
-                [
-                    cut(t, [(s["start"], s["end"]) for s in hit]) if t and hit else t
-                    for t, hit in zip(texts.to_pylist(), found.to_pylist())
-                ],
-                pa.string(),
-            )
-
-    return shorten(text, spans)
-
-
 def remove_contamination(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", max_coverage: float = MAX_COVERAGE
 ) -> DataFrame:
@@ -270,13 +264,13 @@ def remove_contamination(
 
     Documents without a hit, null and empty texts among them, stay as they are.
     """
-    found, name = match_documents(docs, benchmark, text)
+    found, name = match_documents(docs, benchmark, text, shorten=True)
     spans = F.col(name)["spans"]
     kept = found.where(hit_words(spans) <= max_coverage * F.col(name)["n_words"])
     given = docs.schema[text].dataType
     return kept.select(
         *[
-            F.when(F.size(spans) == 0, F.col(f"`{c}`")).otherwise(without(F.col(f"`{c}`"), spans).cast(given)).alias(c)
+            F.coalesce(F.col(name)["text"].cast(given), F.col(f"`{c}`")).alias(c)
             if c == text else F.col(f"`{c}`")
             for c in docs.columns
         ]

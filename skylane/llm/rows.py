@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,13 +81,25 @@ def keyed(df: DataFrame) -> tuple[DataFrame, str, str]:
 def slices(batches: Iterator, size: int = 200) -> Iterator:
     """Arrow batches, or tuples of them, cut into runs of ``size`` rows.
 
-    What a task holds as Python objects then is one run, not a whole batch.
+    What a task holds as Python objects then is one run, not a whole batch. At the end what the
+    task has freed goes back to the system: the worker lives on and serves other stages.
     """
     for batch in batches:
         columns = batch if isinstance(batch, tuple) else (batch,)
         for start in range(0, len(columns[0]), size):
             cut = tuple(c.slice(start, size) for c in columns)
             yield cut if isinstance(batch, tuple) else cut[0]
+            del cut
+        del batch, columns
+    give_back()
+
+
+def give_back() -> None:
+    """Return free pages of Arrow and of the C library, where it can, to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def held_out(doc_id: Column) -> Column:
