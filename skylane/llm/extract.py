@@ -71,13 +71,16 @@ ENDS_AT = {
 }
 KEEPS_OPEN = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table",), "th": ("table",)}
 
+# The rest of a tag up to its end: a quote only opens a value behind an equals sign. Each character is read
+# once; a tag without an end takes the rest of the page.
+_INSIDE = r"(?:[^>=]|=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])))*+"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<data>.*?)\]\]>"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[(?P<data>.*?)(?:\]\]>|\Z)"
     # An svg element can be empty; a slash at the end of an unquoted value is the value's.
-    r"|<svg(?=[\s/])(?:[^>\"'=/]|/(?!>)|=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]++))*+/>"
-    rf"|<(?P<raw>{'|'.join(RAW)})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?][^>]*(?:>|\Z)|</[^>]*>|<[a-zA-Z/][^<>]*\Z",
+    r"|<svg(?=[\s/])(?:[^>=/]|/(?!>)|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>]++))*+/>"
+    rf"|<(?P<raw>{'|'.join(RAW)})(?=[\s/>]){_INSIDE}>.*?(?:</(?P=raw)(?=[\s/>]){_INSIDE}>|\Z)"
+    rf"|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attributes>{_INSIDE})>"
+    rf"|</?[a-zA-Z]{_INSIDE}(?:=.*)?\Z|<[!?][^>]*+(?:>|\Z)|</[^>]*+(?:>|\Z)",
     re.S | re.I,
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)

@@ -21,6 +21,7 @@ alphabetical order wins.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -40,7 +41,18 @@ SHARPNESS = (1, 2, 5, 10, 20, 50, 100, 200)
 UNKNOWN = "und"
 PREDICTION = "lang_pred string, score double, cross_entropy double, rejected boolean"
 
-_WORD = re.compile(r"[^\W\d_]+")
+
+
+def _other_numbers() -> str:
+    """Number forms and letter numbers, which a word character class takes for letters, as ranges."""
+    codes = [c for c in range(0x80, 0x110000) if unicodedata.category(chr(c)) in ("Nl", "No")]
+    starts = [c for c, before in zip(codes, [0, *codes]) if c != before + 1]
+    ends = [c for c, after in zip(codes, [*codes[1:], 0]) if after != c + 1]
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends))
+
+
+# Runs of letters: what is a word character but no number.
+_WORD = re.compile(rf"[^\W\d_{_other_numbers()}]+")
 _FLUSH = 200_000
 _WORDS_AT_ONCE = 100_000
 
@@ -388,9 +400,12 @@ def predict_column(spark: SparkSession, model: Model, text: Column) -> Column:
 
 
 def predicted(docs: DataFrame, model: Model | SpreadModel, text: str = "text", name: str = "p") -> DataFrame:
-    """``docs`` with language, score, cross-entropy and rejection in ``name``, by a model of any size."""
+    """``docs`` with language, score, cross-entropy and rejection in ``name``, by a model of any size.
+
+    A column of ``docs`` that is called ``name`` gives way.
+    """
     if isinstance(model, Model):
         return docs.withColumn(name, predict_column(docs.sparkSession, model, F.col(f"`{text}`")))
     base, file, row = rows.keyed(docs)
     found = base.join(model.cross_entropies(base, [file, row], text), [file, row], "left")
-    return found.select(*[F.col(f"`{c}`") for c in docs.columns], model.prediction(F.col("h")).alias(name))
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != name.lower()], model.prediction(F.col("h")).alias(name))

@@ -39,7 +39,7 @@ _OTHER = "Dr|Prof"
 _NAME = r"\p{Lu}[\p{L}'-]*\p{L}"
 # In the order in which they are tried at a place.
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,126}\.[A-Za-z]{2,}",
     "secret": r"(?<=(?i:password|passwd|pwd|token|secret|api_?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(?=[+/_-]*[A-Za-z0-9])[A-Za-z0-9+/_-]{6,}",
     "key": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
@@ -55,6 +55,7 @@ HINT = rf"[0-9@=:]|{_MALE}|{_FEMALE}|{_OTHER}"
 
 # Syllables of made-up names by script.
 _LATIN = ("ba", "den", "lo", "mir", "ka", "ren", "so", "tal", "vi", "nor", "pe", "lan", "ro", "gil", "fa", "mon")
+_GREEK = ("μπα", "δεν", "λο", "μιρ", "κα", "ρεν", "σο", "ταλ", "βι", "νορ", "πε", "λαν", "ρο", "γκιλ", "φα", "μον")
 _CYRILLIC = ("ба", "ден", "ло", "мир", "ка", "рен", "со", "тал", "ви", "нор", "пе", "лан", "ро", "гил", "фа", "мон")
 
 
@@ -85,6 +86,7 @@ def canonical(kind: Column, mention: Column) -> Column:
         .when(kind.isin("card", "ssn"), digits)
         .when(kind == "iban", F.replace(mention, F.lit(" "), F.lit("")))
         .when(kind == "email", F.lower(mention))
+        .when(kind.startswith("name"), F.initcap(mention))
         .otherwise(mention)
     )
 
@@ -170,17 +172,25 @@ def _phone(key: str, kind: Column, value: Column, draw: Column) -> Column:
     return F.concat(F.substr(value, F.lit(1), country), first, rest)
 
 
-def _ending(kind: Column, cyrillic: Column) -> Column:
+def _by_script(value: Column, latin: str | Column, cyrillic: str | Column, greek: str | Column) -> Column:
+    """One of three by the script of a name; names of other scripts with capitals get Latin ones."""
+    value_of = lambda c: F.lit(c) if isinstance(c, str) else c
     return (
-        F.when(kind == "name_f", F.when(cyrillic, "на").otherwise("na"))
-        .when(kind == "name_m", F.when(cyrillic, "тор").otherwise("dor"))
-        .otherwise(F.when(cyrillic, "лин").otherwise("lin"))
+        F.when(value.rlike(r"\p{IsCyrillic}"), value_of(cyrillic)).when(value.rlike(r"\p{IsGreek}"), value_of(greek))
+        .otherwise(value_of(latin))
+    )
+
+
+def _ending(kind: Column, value: Column) -> Column:
+    return (
+        F.when(kind == "name_f", _by_script(value, "na", "на", "να"))
+        .when(kind == "name_m", _by_script(value, "dor", "тор", "τωρ"))
+        .otherwise(_by_script(value, "lin", "лин", "λιν"))
     )
 
 
 def _made_up(key: str, kind: Column, value: Column, draw: Column) -> Column:
     """A made-up name word of the script and gender; more draws make it longer."""
-    cyrillic = value.rlike(r"\p{IsCyrillic}")
     count = (2 + F.floor(draw / 3)).cast("int")
     syllable = lambda names: F.array_join(
         F.transform(
@@ -189,7 +199,9 @@ def _made_up(key: str, kind: Column, value: Column, draw: Column) -> Column:
         ),
         "",
     )
-    return F.initcap(F.concat(F.when(cyrillic, syllable(_CYRILLIC)).otherwise(syllable(_LATIN)), _ending(kind, cyrillic)))
+    return F.initcap(
+        F.concat(_by_script(value, syllable(_LATIN), syllable(_CYRILLIC), syllable(_GREEK)), _ending(kind, value))
+    )
 
 
 def replacement(key: str, kind: Column, value: Column, draw: Column) -> Column:
@@ -218,6 +230,7 @@ _PLACES = {
     "p": (80, lambda d: (d + 11).cast("string")),
     "s": (16, lambda d: F.get(F.array(*map(F.lit, _LATIN)), d.cast("int"))),
     "c": (16, lambda d: F.get(F.array(*map(F.lit, _CYRILLIC)), d.cast("int"))),
+    "g": (16, lambda d: F.get(F.array(*map(F.lit, _GREEK)), d.cast("int"))),
 }
 _FORMAT = ["kind", "prefix", "pattern", "suffix"]
 # The own format, then a longer one; a full private range first takes a larger one.
@@ -233,8 +246,7 @@ def _format(key: str, kind: Column, value: Column, step: int) -> Column:
     shape = lambda prefix, pattern, suffix="": F.struct(
         *[(F.lit(c) if isinstance(c, str) else c).alias(n) for n, c in (("prefix", prefix), ("pattern", pattern), ("suffix", suffix))]
     )
-    cyrillic = value.rlike(r"\p{IsCyrillic}")
-    name = shape("", F.when(cyrillic, "c" * 16).otherwise("s" * 16), _ending(kind, cyrillic))
+    name = shape("", _by_script(value, "s" * 16, "c" * 16, "g" * 16), _ending(kind, value))
     card = shape(F.substr(value, F.lit(1), F.lit(1)), F.concat(F.lit("0" * 13), more("0")), (_check_digit(value) % 10).cast("string"))
     wide, narrow = value.rlike(r"^(10|127)\."), value.rlike(r"^(192\.168|169\.254|172\.(1[6-9]|2\d|3[01]))\.")
     ip = [
@@ -435,6 +447,17 @@ def _words_of_names(mention: Column) -> Column:
     )
 
 
+def _with_known_gender(each: DataFrame) -> DataFrame:
+    """Given names behind a title that says nothing get the gender that the same full name has elsewhere."""
+    full = F.initcap(F.regexp_replace("mention", r"^\S+ ", "")).alias("full")
+    known = (
+        each.where(F.col("kind").isin("name_m", "name_f")).groupBy(full).agg(F.min("kind").alias("known"))
+    )
+    open_ = each.where("kind = 'name_x'").select("*", full).join(known, "full", "left")
+    settled = open_.withColumn("kind", F.coalesce("known", "kind")).select(each.columns)
+    return rows.written(each.where("kind <> 'name_x'").unionByName(settled), "mentions")
+
+
 def replace_entities(docs: DataFrame, text: str = "text", key: str = KEY) -> tuple[DataFrame, str]:
     """``docs`` with the entities of ``text`` replaced, and the name of a count of them."""
     base, file, row = rows.keyed(docs)
@@ -448,7 +471,7 @@ def replace_entities(docs: DataFrame, text: str = "text", key: str = KEY) -> tup
     each = each.select("f", "r", "at", "mention", "part", "p.kind", "p.written").withColumn(
         "value", canonical(F.col("kind"), F.col("written"))
     )
-    each = rows.written(each, "mentions")
+    each = _with_known_gender(rows.written(each, "mentions"))
     surrogates = assign(each.select("kind", "value").distinct(), key)
     new = each.join(surrogates, ["kind", "value"]).withColumn("new", _as_written(F.col("kind"), F.col("written"), F.col("surrogate")))
     # Words of a name stand behind its title in their order.

@@ -1,5 +1,7 @@
 """Each operator against brute force, exact round trips or held-out labels."""
 
+import time
+import unicodedata
 import itertools
 import math
 import random
@@ -115,6 +117,46 @@ LAYOUTS = [
 ]
 
 
+LAYOUTS += [
+    ("<article><!--><p>a b</p><!--->c<!-- d --!><p>e</p><!-- f --></article>", "a b\nc\ne"),
+    ("<article><p title=\"x > y\" hidden>a</p><p class=k\"z>b</p></article>", "a\nb"),
+]
+
+
+@pytest.mark.parametrize("odd", ['<a "', "<svg ", "<!-- ", '<svg a="', "<![CDATA[ >", "</a ", "</1", "<script ", '<a ="', '<p a="x" '])
+def test_long_odd_markup_is_read_in_one_pass(odd):
+    start = time.perf_counter()
+    for _ in extract._TOKEN.finditer(odd * (1_000_000 // len(odd))):
+        pass
+    assert time.perf_counter() - start < 5
+
+
+def replaced(spark, text):
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    return surrogates.replace_entities(df)[0].first().text
+
+
+def test_long_runs_of_letters_hold_no_address(spark):
+    start = time.perf_counter()
+    assert "me@here.org" not in replaced(spark, "x" * 100_000 + " mail me@here.org")
+    assert time.perf_counter() - start < 60
+
+
+def test_names_keep_their_person_and_script(spark):
+    smith, again = replaced(spark, "Mr SMITH and Mr Smith").split(" and ")
+    assert smith.lower() == again.lower() and smith.split()[1].isupper() and "smith" not in smith.lower()
+    doctor, mister = replaced(spark, "Dr John Smith and Mr John Smith").split(" and ")
+    assert doctor.split()[1:] == mister.split()[1:]
+    one, two = replaced(spark, "Dr John Smith and Ms John Smith").split(" and ")
+    assert one.split()[1:] == two.split()[1:]
+    greek = replaced(spark, "Mr Παπαδόπουλος").split()[1]
+    assert all("GREEK" in unicodedata.name(c) for c in greek) and greek != "Παπαδόπουλος"
+
+
+def test_numbers_are_no_letters(spark):
+    assert langid._WORD.findall("½ ² Ⅷ ① x²y é中 _a9b") == ["x", "y", "é中", "a", "b"]
+
+
 @pytest.mark.parametrize("page,text", LAYOUTS)
 def test_layouts(page, text):
     assert extract.fit([]).extract(page) == text
