@@ -7,7 +7,6 @@ through Python, to resolve character references exactly.
 from __future__ import annotations
 
 import html
-import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -33,6 +32,8 @@ ANCHOR = rf"(?is)<a\s{INSIDE}>.*?</a>"
 ANCHOR_OPEN = rf"(?is)^<a\s({INSIDE})>"
 ANCHOR_TEXT = rf"(?is)^<a\s{INSIDE}>(.*)</a>$"
 ATTRIBUTE = r"""(?s)[^\s"'=<>/]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
+DIV_TAG = rf"(?is)</?div\b{INSIDE}>"
+DIV_OPEN = rf"(?is)^<div\s({INSIDE})>$"
 ITEM_OPEN = rf"""(?i)<div\s(?=[^>]*\b{ITEM_CLASS}\b){INSIDE}>"""
 
 
@@ -95,30 +96,61 @@ def anchor_class(c) -> Column:
     return F.trim(attribute(anchor_attributes(c), "class"))
 
 
-def element_text(page: str, name: str) -> str | None:
-    """What stands between the first ``div`` of class ``name`` and its own end tag."""
-    for opened in re.finditer(rf"<div\s({INSIDE})>", page, re.I | re.S):
-        classes = re.search(r"""(?:^|\s)class\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", opened[1], re.I)
-        if classes is None or name not in (classes[1] or classes[2] or classes[3] or "").split():
-            continue
-        depth = 1
-        for tag in re.finditer(rf"<(/?)div\b{INSIDE}>", page[opened.end():], re.I | re.S):
-            depth += -1 if tag[1] else 1
-            if depth == 0:
-                return page[opened.end():opened.end() + tag.start()]
-        return page[opened.end():]
-    return None
+def element_content(c, name: str) -> Column:
+    """What stands between the first ``div`` of class ``name`` and its own end tag.
 
-
-@F.pandas_udf(T.StringType())
-def _cards(pages: pd.Series) -> pd.Series:
-    return pages.map(lambda page: element_text(re.sub(COMMENT, "", page), CARD_CLASS), na_action="ignore")
+    NULL without such an element; one that is not closed reaches to the end of the page. The page is cut
+    at its ``div`` tags once, and the depth is a running sum over them.
+    """
+    page = as_column(c)
+    cut = F.struct(
+        F.regexp_extract_all(page, F.lit(DIV_TAG), F.lit(0)).alias("tags"), F.split(page, DIV_TAG, -1).alias("texts")
+    )
+    # A list of one element binds a value, so that it is worked out once.
+    located = F.transform(F.array(cut), lambda at: F.struct(
+        at["tags"].alias("tags"), at["texts"].alias("texts"), _first_of_class(at["tags"], name).alias("start")))
+    spans = F.transform(located, lambda at: F.struct(
+        at["tags"].alias("tags"), at["texts"].alias("texts"), at["start"].alias("start"),
+        _tags_inside(at["tags"], at["start"]).alias("inside")))
+    contents = F.transform(spans, lambda at: F.when(at["start"] >= 0, F.concat(
+        F.get(at["texts"], at["start"] + 1),
+        F.array_join(F.zip_with(
+            F.slice(at["tags"], at["start"] + 2, at["inside"]), F.slice(at["texts"], at["start"] + 3, at["inside"]),
+            lambda tag, text: F.concat(tag, text)), ""),
+    )))
+    return F.get(contents, F.lit(0))
+
+
+def _first_of_class(tags: Column, name: str) -> Column:
+    """Place of the first opening tag of class ``name``, -1 without one."""
+    def named(tag: Column) -> Column:
+        classes = attribute(F.regexp_extract(tag, DIV_OPEN, 1), "class")
+        return F.coalesce(F.array_contains(F.split(classes, r"\s+"), name), F.lit(False))
+
+    # Only tags that hold the name at all are taken apart.
+    return F.array_position(F.transform(tags, lambda tag: F.contains(tag, F.lit(name)) & named(tag)), True).cast("int") - 1
+
+
+def _tags_inside(tags: Column, start: Column) -> Column:
+    """How many tags stand between the opening tag at ``start`` and its own end tag."""
+    after = F.slice(tags, start + 2, F.size(tags))
+    begin = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("seen"))
+
+    def step(state: Column, tag: Column) -> Column:
+        depth = state["depth"] + F.when(F.startswith(tag, F.lit("</")), -1).otherwise(1)
+        inside = state["depth"] > 0
+        return F.struct(
+            F.when(inside, depth).otherwise(0).alias("depth"),
+            (state["seen"] + (inside & (depth > 0)).cast("int")).alias("seen"),
+        )
+
+    return F.aggregate(after, begin, step)["seen"]
 
 
 def weather_card(c) -> Column:
     """Page text of the current-weather card, NULL without a card."""
     page = as_column(c)
-    return _cards(F.when(F.contains(page, F.lit(CARD_CLASS)), page))
+    return F.when(F.contains(page, F.lit(CARD_CLASS)), element_content(F.regexp_replace(page, COMMENT, ""), CARD_CLASS))
 
 
 def card_field(card, pattern: str) -> Column:

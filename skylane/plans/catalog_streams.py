@@ -20,7 +20,7 @@ from skylane.plans.catalog_lake import EVENT_SCHEMA, _DAILY_LAST
 from skylane.plans.derive import TRAFFIC_CLEAN_SQL, WEATHER_CLEAN_SQL, last_reading_sql, table
 from skylane.plans.registry import ORACLES, query
 from skylane.sources import lake
-from skylane.streaming import lake_sync, queries
+from skylane.streaming import cached_lookup, lake_sync, queries
 
 
 def _drained(spark: SparkSession, label: str, df: DataFrame) -> DataFrame:
@@ -129,6 +129,29 @@ def stream_static_lookup(spark, sf_dir):
     return spark.read.parquet(path).drop("batch_id")
 
 
+@query("stream_cached_lookup", ORACLES["stream_static_lookup"])
+def stream_cached_lookup(spark, sf_dir):
+    """Three micro-batches against a lookup that is read once and kept."""
+    events = table(spark, sf_dir, "events").select(
+        "event_id", "ts", (F.col("user_id") % 25).alias("n_nationkey")
+    )
+    source, path = workspace.new_dir(spark, "events"), workspace.new_dir(spark, "looked-up")
+    third = max(1, -(-events.count() // 3))
+    events.write.option("maxRecordsPerFile", third).parquet(source)
+    files = len(spark.read.parquet(source).inputFiles())
+
+    def nations() -> DataFrame:
+        nation = table(spark, sf_dir, "nation")
+        return nation.select(F.col("n_nationkey").cast("bigint").alias("n_nationkey"), "n_name")
+
+    stream = queries.file_stream(spark, source, events.schema, "parquet", max(1, -(-files // 3)))
+    cached_lookup.lookup_cached(
+        stream, nations, ["n_nationkey"], path, workspace.new_dir(spark, "looked-up-checkpoint"),
+        workspace.new_dir(spark, "nations-kept"),
+    ).awaitTermination()
+    return spark.read.parquet(path).drop("batch_id")
+
+
 @query("sync_events_job", """
 SELECT event_id, ts, user_id, event_type, value, props, CAST(100 + event_id % 24 AS INTEGER) AS hour FROM events""")
 def sync_events_job(spark, sf_dir):

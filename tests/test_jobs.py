@@ -338,3 +338,23 @@ def test_shared_folder(spark):
     base = workspace.base_dir(spark)
     assert workspace.new_dir(spark, "x") != workspace.new_dir(spark, "x")
     assert base == spark.conf.get(workspace.CHECKPOINT_CONF, base).rstrip("/")
+
+
+def test_jdbc_split_by_number_or_text():
+    plain = jdbc.table_options("jdbc:x", "cameras")
+    split = jdbc.split_options(plain, "updated", dt.date(2025, 1, 1), dt.date(2025, 7, 1), 6)
+    assert split["partitionColumn"] == "updated" and split["numPartitions"] == "6" and "partitionColumn" not in plain
+    assert (split["lowerBound"], split["upperBound"]) == ("2025-01-01", "2025-07-01")
+    for lower, upper, tasks in ((1, 1, 2), (2, 1, 2), (1, 2, 0), (1, dt.date(2025, 1, 1), 2)):
+        with pytest.raises(ValueError):
+            jdbc.split_options(plain, "id", lower, upper, tasks)
+
+
+def test_text_ranges_take_every_row_once(spark):
+    with pytest.raises(ValueError):
+        jdbc.value_ranges("id", ["b", "a"])
+    rows = spark.createDataFrame([(v,) for v in ["", "a", "it's", "itz", "m", "z", None]], "id string")
+    conditions = jdbc.value_ranges("id", ["it", "m"])
+    parts = [sorted(str(r.id) for r in rows.where(c).collect()) for c in conditions]
+    assert parts == [["", "None", "a"], ["it's", "itz"], ["m", "z"]]
+    assert jdbc.value_ranges("id", ["it's"]) == ["id < 'it''s' OR id IS NULL", "id >= 'it''s'"]

@@ -104,3 +104,31 @@ def test_fields_survive_their_line(spark, values):
     written = apply(spark, measures.escaped, values)
     assert not any(set(w) & set("\t\n\r") for w in written if w)
     assert apply(spark, lambda c: measures.unescaped(measures.escaped(c)), values) == values
+
+
+DIV = re.compile(rf"<(/?)div\b({markup.INSIDE})>", re.I | re.S)
+PIECES = [
+    "<div>", "</div>", "</DIV >", "<div class='x'>", '<div id=1 class="y x">', "<div class=x>", "<Div class='xx'>", "<div data-a='>' class=x>",
+    "<p class='x'>", "<divide class='x'>", "t", "\n", "x", "<div\nclass = 'a\tx'>", "<div data-class='x'>",
+]
+
+
+def plain_content(page: str) -> str | None:
+    """Walk over the tags one by one."""
+    start, depth = None, 0
+    for tag in DIV.finditer(page):
+        if start is None:
+            named = re.search(r"""(?<![\w-])class\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", tag[2])
+            if not tag[1] and named and "x" in (named[1] or named[2] or named[3] or "").split():
+                start, depth = tag.end(), 1
+            continue
+        depth += -1 if tag[1] else 1
+        if depth == 0:
+            return page[start:tag.start()]
+    return None if start is None else page[start:]
+
+
+@FEW
+@given(st.lists(st.lists(st.sampled_from(PIECES), max_size=14).map("".join), min_size=1, max_size=25))
+def test_element_content_ends_at_its_own_tag(spark, pages):
+    assert apply(spark, lambda c: markup.element_content(c, "x"), pages) == [plain_content(p) for p in pages]
