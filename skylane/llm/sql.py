@@ -13,21 +13,35 @@ outcome AS (
   SELECT doc_id AS page_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad
   FROM labels WHERE (quality IS NOT NULL OR toxic IS NOT NULL) AND doc_id IS NOT NULL GROUP BY doc_id),
 hosts0 AS (SELECT host, count(*) AS n, sum(bad) AS bad FROM seen JOIN outcome USING (page_id) GROUP BY host),
+named AS (
+  SELECT *, string_split(host, '.') AS names,
+    list_aggregate(list_slice(string_split(host, '.'), -2, -1), 'string_agg', '.') AS two FROM hosts0),
 hosts AS (
-  SELECT *, list_aggregate(list_slice(string_split(host, '.'), -2, -1), 'string_agg', '.') AS domain,
-    list_extract(string_split(host, '.'), -1) AS suffix FROM hosts0),
-root AS (SELECT (sum(bad) + 0.5) / (sum(n) + 1.0) AS mean FROM hosts),
+  SELECT host, n, bad, CASE WHEN long THEN two ELSE list_extract(names, -1) END AS suffix,
+    CASE WHEN long THEN list_aggregate(list_slice(names, -3, -1), 'string_agg', '.') ELSE two END AS domain
+  FROM (SELECT *, two IN ('co.uk', 'org.uk', 'ac.uk', 'com.au', 'co.jp', 'com.br', 'co.in', 'co.nz', 'com.cn') AS long FROM named)),
+strengths AS (SELECT 0.5::DOUBLE * power(2000::DOUBLE, i / 32.0::DOUBLE) AS s FROM range(33) AS r(i)),
+root AS (SELECT (sum(bad) + 0.5::DOUBLE) / (sum(n) + 1) AS mean FROM hosts),
 s0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, any_value(root.mean) AS mean FROM hosts, root GROUP BY suffix),
-sm AS (SELECT sum((bad - n * mean) ** 2 - n * mean * (1 - mean)) AS e, sum(n * (n - 1) * mean * (1 - mean)) AS p FROM s0),
-sw AS (SELECT CASE WHEN p > 0 AND e > 0 THEN least(greatest(p / e - 1, 0.5), 1000.0) ELSE 1000.0 END AS w FROM sm),
-s AS (SELECT suffix, (bad + w * mean) / (n + w) AS mean FROM s0, sw),
-d0 AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad, any_value(s.mean) AS mean FROM hosts JOIN s USING (suffix) GROUP BY domain, suffix),
-dm AS (SELECT sum((bad - n * mean) ** 2 - n * mean * (1 - mean)) AS e, sum(n * (n - 1) * mean * (1 - mean)) AS p FROM d0),
-dw AS (SELECT CASE WHEN p > 0 AND e > 0 THEN least(greatest(p / e - 1, 0.5), 1000.0) ELSE 1000.0 END AS w FROM dm),
-d AS (SELECT domain, (bad + w * mean) / (n + w) AS mean FROM d0, dw),
-h0 AS (SELECT host, n, bad, d.mean FROM hosts JOIN d USING (domain)),
-hm AS (SELECT sum((bad - n * mean) ** 2 - n * mean * (1 - mean)) AS e, sum(n * (n - 1) * mean * (1 - mean)) AS p FROM h0),
-hw AS (SELECT CASE WHEN p > 0 AND e > 0 THEN least(greatest(p / e - 1, 0.5), 1000.0) ELSE 1000.0 END AS w FROM hm),
+ss AS (
+  SELECT s, sum(lgamma(bad + s * mean) - lgamma(s * mean) + lgamma(n - bad + s * (1 - mean)) - lgamma(s * (1 - mean))
+    - lgamma(n + s) + lgamma(s)) AS likelihood
+  FROM s0, strengths WHERE n > 1 GROUP BY s),
+sw AS (SELECT coalesce((SELECT s FROM ss ORDER BY likelihood DESC, s DESC LIMIT 1), 1000.0) AS w),
+s1 AS (SELECT suffix, (bad + w * mean) / (n + w) AS mean FROM s0, sw),
+d0 AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad, any_value(s1.mean) AS mean FROM hosts JOIN s1 USING (suffix) GROUP BY domain, suffix),
+ds AS (
+  SELECT s, sum(lgamma(bad + s * mean) - lgamma(s * mean) + lgamma(n - bad + s * (1 - mean)) - lgamma(s * (1 - mean))
+    - lgamma(n + s) + lgamma(s)) AS likelihood
+  FROM d0, strengths WHERE n > 1 GROUP BY s),
+dw AS (SELECT coalesce((SELECT s FROM ds ORDER BY likelihood DESC, s DESC LIMIT 1), 1000.0) AS w),
+d1 AS (SELECT domain, (bad + w * mean) / (n + w) AS mean FROM d0, dw),
+h0 AS (SELECT host, n, bad, d1.mean FROM hosts JOIN d1 USING (domain)),
+hs AS (
+  SELECT s, sum(lgamma(bad + s * mean) - lgamma(s * mean) + lgamma(n - bad + s * (1 - mean)) - lgamma(s * (1 - mean))
+    - lgamma(n + s) + lgamma(s)) AS likelihood
+  FROM h0, strengths WHERE n > 1 GROUP BY s),
+hw AS (SELECT coalesce((SELECT s FROM hs ORDER BY likelihood DESC, s DESC LIMIT 1), 1000.0) AS w),
 h AS (SELECT host, (bad + w * mean) / (n + w) AS rate, n + w AS worth FROM h0, hw),
 judged AS (
   SELECT page_id, host, path, CASE WHEN rate - 2.0 * sqrt(rate * (1 - rate) / (worth + 1)) > 0.5 THEN 'block' ELSE 'allow' END AS learned
