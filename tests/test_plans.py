@@ -101,6 +101,11 @@ def test_no_cross_joins_and_python_only_where_needed(name, spark, sf_dir):
     assert any(n in plan for n in ("EvalPython", "MapInPandas")) == (name in PYTHON_QUERIES)
 
 
+def test_whole_pages_stay_out_of_python(spark, sf_dir):
+    plan = plan_of(catalog.queries()["weather_page_properties"](spark, sf_dir))
+    assert plan.count("EvalPython") == 1 and plan.index("EvalPython") < plan.index("Generate")
+
+
 STREAM_PLANS = {
     "weather": lambda spark, read: clean.clean_weather(read(schemas.WEATHER_RAW)),
     "weather, decimal": lambda spark, read: clean.clean_weather_decimal(read(schemas.WEATHER_RAW)),
