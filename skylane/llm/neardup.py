@@ -56,19 +56,25 @@ LEAST_AGREEING = 80
 CELLS = 512
 
 SKETCH = "node binary, weight long, buckets array<long>, signature array<tinyint>"
-_AT_ONCE = 50_000
+_AT_ONCE = 12_000
+# Darts thrown in one step.
+_THROWN = 1 << 12
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads all bits."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
-def salted(x: np.ndarray, salt: int) -> np.ndarray:
-    return mixed(x + np.uint64((salt * 0xD1342543DE82EF95 + 0x2545F4914F6CDD1D) % 2**64))
+def salted(x: np.ndarray, salt: "int | np.ndarray") -> np.ndarray:
+    salts = np.asarray(salt, np.uint64)[None] * np.uint64(0xD1342543DE82EF95) + np.uint64(0x2545F4914F6CDD1D)
+    return mixed(x + salts)
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -80,25 +86,46 @@ def normal_words(text: str | None) -> list[str]:
     return text.lower().split() if text else []
 
 
-def shingles(ws: list[str]) -> np.ndarray:
-    """Hashes of the runs of five words, repeated as they occur."""
-    if not ws:
-        return np.empty(0, np.uint64)
-    numbers = {w: i for i, w in enumerate(dict.fromkeys(ws))}
-    ids = np.fromiter(map(numbers.__getitem__, ws), np.int64, len(ws))
+def shingles_of(texts: list[list[str]]) -> list[np.ndarray]:
+    """Hashes of the runs of five words of each text, repeated as they occur.
+
+    A word that several texts have is hashed once.
+    """
+    every = [w for ws in texts for w in ws]
+    if not every:
+        return [np.empty(0, np.uint64) for _ in texts]
+    numbers = {w: i for i, w in enumerate(dict.fromkeys(every))}
+    ids = np.fromiter(map(numbers.__getitem__, every), np.int64, len(every))
     raw = "".join(numbers).encode("utf-32-le")
     codes = np.frombuffer(raw, np.uint32).astype(np.uint64)
     sizes = np.fromiter(map(len, numbers), np.int64, len(numbers))
     starts = np.cumsum(sizes) - sizes
     place = (np.arange(len(codes)) - np.repeat(starts, sizes)).astype(np.uint64)
     hashes = mixed(np.add.reduceat(mixed((codes + np.uint64(1)) * _MULTIPLIER + place), starts))[ids]
-    size = min(SHINGLE, len(ws))
-    run = np.full(len(ws) - size + 1, size, np.uint64)
+    # Runs over all words; those that would cross the end of a text aren't taken.
+    runs = _runs(hashes, SHINGLE) if len(hashes) >= SHINGLE else hashes[:0]
+    found, at = [], 0
+    for ws in texts:
+        if len(ws) < SHINGLE:
+            found.append(_runs(hashes[at:at + len(ws)], len(ws)) if ws else np.empty(0, np.uint64))
+        else:
+            found.append(runs[at:at + len(ws) - SHINGLE + 1])
+        at += len(ws)
+    return found
+
+
+def _runs(hashes: np.ndarray, size: int) -> np.ndarray:
+    run = np.full(len(hashes) - size + 1, size, np.uint64)
     for k in range(size):
-        run = mixed(run * _MULTIPLIER + hashes[k:len(ws) - size + 1 + k])
+        run = mixed(run * _MULTIPLIER + hashes[k:len(hashes) - size + 1 + k])
     return run
 
 
+def shingles(ws: list[str]) -> np.ndarray:
+    """Hashes of the runs of five words, repeated as they occur."""
+    return shingles_of([ws])[0]
+
+
 def signatures(sets: list[np.ndarray], coordinates: int = BANDS * ROWS) -> np.ndarray:
     """The earliest dart of every coordinate for each multiset of hashes, none of them empty."""
     out = np.zeros((len(sets), coordinates), np.uint64)
@@ -130,20 +157,26 @@ def _earliest(elements, weights, of, until, coordinates, out, rows_) -> np.ndarr
     found_doc, found_time, found_dart = [], [], []
     arrival = 0
     while len(cell):
-        # The first arrivals one by one, since most cells have few; later ones in runs.
-        run = 1 if arrival < 16 else 64
-        for arrival in range(arrival, arrival + run):
-            dart = salted(cell, arrival)
-            time = time - np.log(unit(mixed(dart))) / height
-            near = np.flatnonzero(time < end)
-            # Only darts above the first slab can lie above the weight.
-            upper = near[low[near] > 0]
-            missed = upper[low[upper] + height[upper] * unit(salted(dart[upper], 1)) > most[upper]]
-            hit = np.setdiff1d(near, missed, assume_unique=True) if len(missed) else near
-            found_doc.append(doc[hit])
-            found_time.append(time[hit])
-            found_dart.append(dart[hit])
-        arrival += 1
+        # Several arrivals at once where few cells are left.
+        many = max(1, min(1024, _THROWN // len(cell)))
+        dart = salted(cell[:, None], np.arange(arrival, arrival + many))
+        times = -np.log(unit(mixed(dart))) / height[:, None]
+        times[:, 0] += time
+        times = np.cumsum(times, axis=1, out=times)
+        at, turn = np.nonzero(times < end[:, None])
+        # Only darts above the first slab can lie above the weight.
+        upper = np.flatnonzero(low[at] > 0)
+        if len(upper):
+            cells = at[upper]
+            lies_at = low[cells] + height[cells] * unit(salted(dart[cells, turn[upper]], 1))
+            taken = np.ones(len(at), bool)
+            taken[upper[lies_at > most[cells]]] = False
+            at, turn = at[taken], turn[taken]
+        found_doc.append(doc[at])
+        found_time.append(times[at, turn])
+        found_dart.append(dart[at, turn])
+        arrival += many
+        time = times[:, -1]
         alive = time < end
         if not alive.all():
             cell, doc, most, end, time = cell[alive], doc[alive], most[alive], end[alive], time[alive]
@@ -151,7 +184,7 @@ def _earliest(elements, weights, of, until, coordinates, out, rows_) -> np.ndarr
     doc, time, dart = np.concatenate(found_doc), np.concatenate(found_time), np.concatenate(found_dart)
     place = doc * coordinates + (salted(dart, 2) % np.uint64(coordinates)).astype(np.int64)
     # Written latest first, so that the earliest dart of a coordinate stays.
-    order = np.argsort(-time, kind="stable")
+    order = np.argsort(-time)
     earliest = np.zeros(len(rows_) * coordinates, np.uint64)
     thrown = np.zeros(len(earliest), bool)
     earliest[place[order]] = dart[order]
@@ -185,10 +218,9 @@ def sketch_all(texts: list[str | None]) -> tuple[list, list, list, list]:
         pending.clear()
         size = 0
 
-    for i, text in enumerate(texts):
-        ws = normal_words(text)
+    split = [normal_words(text) for text in texts]
+    for i, (ws, hashes) in enumerate(zip(split, shingles_of(split))):
         nodes.append(hashlib.blake2b("\n".join(ws).encode(), digest_size=16).digest() if ws else None)
-        hashes = shingles(ws)
         weights.append(len(hashes))
         if ws:
             pending.append((i, hashes))

@@ -507,6 +507,41 @@ def test_classes_of_the_test_documents(spark, sf_dir):
     assert {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()} == near_classes(texts)
 
 
+def darts_one_by_one(elements, coordinates):
+    """The earliest dart of every coordinate, thrown at one element and slab after the other."""
+    whole = lambda x: np.array([x % 2**64], np.uint64)
+    best = {}
+    for element, weight in Counter(map(int, elements)).items():
+        for slab in range(1 if weight == 1 else math.ceil(math.log2(weight)) + 1):
+            low, height = (2.0 ** (slab - 1),) * 2 if slab else (0.0, 1.0)
+            cell = neardup.mixed(whole(element + slab * int(neardup._MULTIPLIER)))
+            at = 0.0
+            for arrival in itertools.count():
+                dart = neardup.salted(cell, arrival)
+                at -= float(np.log(neardup.unit(neardup.mixed(dart)))[0]) / height
+                if at > 60:
+                    break
+                lies_at = low + height * float(neardup.unit(neardup.salted(dart, 1))[0])
+                if slab == 0 or lies_at <= weight:
+                    place = int(neardup.salted(dart, 2)[0]) % coordinates
+                    best[place] = min(best.get(place, (61.0, 0)), (at, int(dart[0])))
+    return [best[k][1] for k in range(coordinates)]
+
+
+def test_signatures_are_those_of_darts_thrown_one_by_one():
+    rng = np.random.default_rng(5)
+    sets = [np.repeat(rng.integers(0, 2**63, n).astype(np.uint64), rng.integers(1, most, n)) for n, most in ((1, 2), (3, 9), (25, 4), (1, 40))]
+    found = neardup.signatures(sets, 6)
+    assert [list(map(int, row)) for row in found] == [darts_one_by_one(s, 6) for s in sets]
+
+
+def test_shingles_of_many_texts_are_those_of_each():
+    texts = [[], ["a"], "a b c d e".split(), [], "b a b a b a b c".split(), ["x", "é"], []]
+    together = neardup.shingles_of(texts)
+    assert [list(map(int, s)) for s in together] == [list(map(int, neardup.shingles(ws))) for ws in texts]
+    assert [len(s) for s in together] == [0, 1, 1, 0, 4, 1, 0]
+
+
 def test_signatures_agree_as_often_as_weights_do():
     rng = np.random.default_rng(11)
     base = rng.integers(0, 2**63, 300).astype(np.uint64)
