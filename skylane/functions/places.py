@@ -2,31 +2,42 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
+from functools import cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from skylane.functions import as_column
 
 
-def _without_marks(text: str) -> str:
-    """NFD without nonspacing marks; the category is looked up once per distinct character."""
-    if text.isascii():
-        return text
-    plain = unicodedata.normalize("NFD", text)
-    for character in set(plain):
+@cache
+def _marks() -> tuple[str, str]:
+    """Characters to replace or delete, and what replaces the first of them, by Unicode's own rule.
+
+    A character that decomposes into one character and nonspacing marks becomes that
+    one; a nonspacing mark goes.
+    """
+    bases, gone = {}, []
+    for code in range(0x80, sys.maxunicode + 1):
+        character = chr(code)
         if unicodedata.category(character) == "Mn":
-            plain = plain.replace(character, "")
-    return plain
+            gone.append(character)
+        elif unicodedata.decomposition(character):
+            kept = [c for c in unicodedata.normalize("NFD", character) if unicodedata.category(c) != "Mn"]
+            if len(kept) == 1 and kept[0] != character:
+                bases[character] = kept[0]
+    return "".join([*bases, *gone]), "".join(bases.values())
 
 
-@F.pandas_udf(T.StringType())
-def strip_marks(names: pd.Series) -> pd.Series:
-    """Canonical decomposition without its combining marks; Spark has no built-in."""
-    return names.map(_without_marks, na_action="ignore")
+def strip_marks(c) -> Column:
+    """Text without nonspacing marks, composed or not, in a column function.
+
+    Characters of several letters, such as Hangul syllables, stay whole, and what is left keeps its order.
+    """
+    found, bases = _marks()
+    return F.translate(as_column(c), found, bases)
 
 
 def location_key(c, fold_unaccented: bool = True) -> Column:

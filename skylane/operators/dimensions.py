@@ -34,11 +34,12 @@ def camera_dimension(df: DataFrame) -> DataFrame:
 
 def fill_missing(df: DataFrame, column: str, mapping: DataFrame, on: str) -> DataFrame:
     """Fill NULLs of ``column`` from ``mapping(on, column)``."""
-    listed = mapping.select(on, F.col(column).alias("_fill")).filter(F.col(on).isNotNull())
-    side = first_per_key(listed, [on], ["_fill"])
+    fill = schemas.fresh("fill", df, mapping)
+    listed = mapping.select(on, F.col(column).alias(fill)).filter(F.col(on).isNotNull())
+    side = first_per_key(listed, [on], [fill])
     return (
         lookup_join(df, side, [on])
-        .withColumn(column, F.coalesce(column, "_fill"))
+        .withColumn(column, F.coalesce(column, fill))
         .select(*df.columns)
     )
 
@@ -66,13 +67,14 @@ def repair_by_mapping(
     Where a key is listed more than once the lowest ``priority`` wins, as the first
     matching branch of a CASE does.
     """
+    repaired, is_listed = (schemas.fresh(n, df, mapping) for n in ("repaired", "listed"))
     listed = mapping.filter(F.col(on).isNotNull()).select(
-        on, priority, F.col(column).alias("_repaired"), F.lit(True).alias("_listed")
+        on, priority, F.col(column).alias(repaired), F.lit(True).alias(is_listed)
     )
-    side = first_per_key(listed, [on], [priority, "_repaired"]).drop(priority)
+    side = first_per_key(listed, [on], [priority, repaired]).drop(priority)
     return (
         lookup_join(df, side, [on])
-        .withColumn(column, F.when(F.col("_listed"), F.col("_repaired")).otherwise(F.col(column)))
+        .withColumn(column, F.when(F.col(is_listed), F.col(repaired)).otherwise(F.col(column)))
         .select(*df.columns)
     )
 
@@ -89,8 +91,9 @@ def first_matching_case(branches: Sequence[tuple[Column, str]], default) -> Colu
 def fan_out(df: DataFrame, mapping: str, key: str, item: str) -> DataFrame:
     """One row per element of a map-of-lists column."""
     kept = [c for c in df.columns if c != mapping]
-    lists = df.select(*kept, F.explode(mapping).alias(key, "_items"))
-    return lists.select(*kept, key, F.explode("_items").alias(item))
+    items = schemas.fresh("items", df)
+    lists = df.select(*kept, F.explode(mapping).alias(key, items))
+    return lists.select(*kept, key, F.explode(items).alias(item))
 
 
 def numbered(df: DataFrame, order: Sequence[str], name: str = "id", start: int = 0) -> DataFrame:
@@ -104,23 +107,24 @@ def numbered(df: DataFrame, order: Sequence[str], name: str = "id", start: int =
     """
     spark = df.sparkSession
     path = workspace.new_dir(spark, "numbered")
-    tied = df.withColumn("_tie", spread_salt(df, _TIES))
-    ranged = tied.repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
+    tie, part, place, first_of = (schemas.fresh(n, df) for n in ("tie", "part", "place", "first"))
+    tied = df.withColumn(tie, spread_salt(df, _TIES))
+    ranged = tied.repartitionByRange(*order, tie).sortWithinPartitions(*order, tie).drop(tie)
     position = F.monotonically_increasing_id()
     ranged.withColumns({
-        "_part": F.shiftright(position, 33).cast("int"),
-        "_pos": position.bitwiseAND(F.lit((1 << 33) - 1)),
+        part: F.shiftright(position, 33).cast("int"),
+        place: position.bitwiseAND(F.lit((1 << 33) - 1)),
     }).write.parquet(path)
     placed = spark.read.parquet(path)
-    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    totals = {row["_part"]: row["_n"] for row in counts.toLocalIterator()}
+    counts = placed.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
+    totals = {row[part]: row["n"] for row in counts.toLocalIterator()}
     offsets, running = [], start
-    for part in sorted(totals):
-        offsets.append((part, running))
-        running += totals[part]
-    first = spark.createDataFrame(offsets, "_part int, _first long")
-    return placed.join(F.broadcast(first), "_part").select(
-        (F.col("_first") + F.col("_pos")).alias(name), *df.columns
+    for number in sorted(totals):
+        offsets.append((number, running))
+        running += totals[number]
+    first = spark.createDataFrame(offsets, f"{part} int, {first_of} long")
+    return placed.join(F.broadcast(first), part).select(
+        (F.col(first_of) + F.col(place)).alias(name), *df.columns
     )
 
 

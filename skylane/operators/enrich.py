@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from skylane.functions import places
 from skylane.operators.latest import latest_per_key
 from skylane.operators.lookup import lookup_join
+from skylane.schemas import fresh
 
 # Time buckets: the calendar columns that make up each bucket's key.
 BUCKET_KEYS = {
@@ -20,9 +21,6 @@ READINGS = ("last", "all")
 # Key columns exist on both sides; the traffic side's copies are the ones kept.
 _SHARED = ["district", "dt", "hour", "minute", "ts"]
 
-# Columns that the frames have while districts are compared by key.
-_NAME, _KEY = "district_as_written", "district_join_key"
-
 
 def join_exact_time(traffic: DataFrame, weather: DataFrame, shuffled: bool = False) -> DataFrame:
     """Traffic left join weather on the same instant, whatever the district.
@@ -58,12 +56,11 @@ def join_bucket(
     if readings not in READINGS:
         raise ValueError(f"readings must be one of {READINGS}, got {readings!r}")
     if match_spellings:
-        keys = district_keys(traffic, weather)
-        names = {"district": _NAME, _KEY: "district"}
-        left = lookup_join(traffic, keys, ["district"]).withColumnsRenamed(names)
-        right = lookup_join(weather, keys, ["district"]).withColumnsRenamed(names).drop(_NAME)
-        joined = join_bucket(left, right, bucket, readings, shuffled)
-        return joined.drop("district").withColumnRenamed(_NAME, "district").select(
+        written = fresh("district_as_written", traffic, weather)
+        key = places.district_join_key("district")
+        left = traffic.withColumns({written: F.col("district"), "district": key})
+        joined = join_bucket(left, weather.withColumn("district", key), bucket, readings, shuffled)
+        return joined.drop("district").withColumnRenamed(written, "district").select(
             *traffic.columns, *[c for c in weather.columns if c not in _SHARED]
         )
     keys = BUCKET_KEYS[bucket]
@@ -74,15 +71,6 @@ def join_bucket(
     return lookup_join(traffic, side, keys, "left", shuffled)
 
 
-def district_keys(*frames: DataFrame) -> DataFrame:
-    """Every spelling of a district in the frames with its normalised key, each worked out once."""
-    names = None
-    for df in frames:
-        own = df.select("district").filter(F.col("district").isNotNull()).distinct()
-        names = own if names is None else names.union(own)
-    return names.distinct().select("district", places.district_join_key("district").alias(_KEY))
-
-
 def last_reading(weather: DataFrame, keys: list[str], matched: list[str] | None = None) -> DataFrame:
     """Last reading per key.
 

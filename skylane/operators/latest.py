@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skylane.schemas import holds_map
+from skylane.schemas import fresh, holds_map
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -46,5 +46,6 @@ def _pick(
         picked = extreme_by(F.struct(*_columns(order + rest)), F.struct(*_columns(order)))
     else:
         picked = extreme(F.struct(*_columns(order + rest)))
-    rows = df.groupBy(*_columns(keys)).agg(picked.alias("_row"))
-    return rows.select(*_columns(keys), "_row.*").select(*_columns(df.columns))
+    row = fresh("picked_row", df)
+    rows = df.groupBy(*_columns(keys)).agg(picked.alias(row))
+    return rows.select(*_columns(keys), f"{row}.*").select(*_columns(df.columns))

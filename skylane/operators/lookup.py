@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skylane.schemas import holds_map
+from skylane.schemas import fresh, holds_map
 
 JOINS = ("left", "inner")
 
@@ -26,14 +26,6 @@ def _key(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _fresh(name: str, *frames: DataFrame) -> str:
-    """``name``, with underscores before it until no frame has such a column."""
-    taken = {c.lower() for df in frames for c in df.columns}
-    while name in taken:
-        name = "_" + name
-    return name
-
-
 def _checked(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> list[str]:
     if how not in JOINS:
         raise ValueError(f"a lookup is a left or inner join, got {how!r}")
@@ -102,7 +94,7 @@ def salted_join(
     on = _checked(left, right, on, how)
     tasks = tasks or task_count(left)
     hashed, frequent, salts, salt, spread = (
-        _fresh(n, left, right) for n in ("key_hash", "frequent_key", "salts", "salt", "spread")
+        fresh(n, left, right) for n in ("key_hash", "frequent_key", "salts", "salt", "spread")
     )
     key = F.xxhash64(*_alike(left, right, on))
     hot = F.broadcast(

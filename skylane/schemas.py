@@ -5,6 +5,7 @@ Field names and types are fixed values: they are the wire format of the feeds.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # One detected object inside a camera frame.
@@ -116,6 +117,14 @@ def serving_wire_schema() -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
 
+def fresh(name: str, *frames: DataFrame) -> str:
+    """``name``, with underscores before it until no frame has such a column."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def holds_map(kind: T.DataType) -> bool:
     """Whether a type is or contains a map, which can be neither compared nor hashed."""
     if isinstance(kind, (T.MapType, T.VariantType)):

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from skylane import schemas
 from skylane.functions import records, timeparts
 from skylane.operators import serving, sinks
 from skylane.operators.lookup import lookup_join, spread_salt
@@ -134,31 +135,35 @@ def join_bucket_stream(
     """
     shared = {"district", "dt", "hour", "minute", "ts"}
     readings = [c for c in weather.columns if c not in shared]
+    salt, time, opened, w_bucket, w_district, w_salt, reading = (
+        schemas.fresh(n, traffic, weather)
+        for n in ("_salt", "_time", "_bucket", "w_bucket", "w_district", "w_salt", "reading")
+    )
     side = (
         weather.filter(F.col("ts").isNotNull())
         .withWatermark("ts", delay)
-        .groupBy(F.window("ts", bucket).alias("bucket"), F.col("district").alias("w_district"))
-        .agg(F.max(F.struct("ts", *readings)).alias("reading"))
+        .groupBy(F.window("ts", bucket).alias("bucket"), F.col("district").alias(w_district))
+        .agg(F.max(F.struct("ts", *readings)).alias(reading))
         .select(
-            F.col("bucket").alias("w_bucket"),
-            "w_district",
-            F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("w_salt"),
-            "reading",
+            F.col("bucket").alias(w_bucket),
+            w_district,
+            F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias(w_salt),
+            reading,
         )
     )
     rows = (
-        traffic.withColumns({"_salt": spread_salt(traffic, salts), "_time": F.col("ts")})
-        .withWatermark("_time", delay)
-        .withColumn("_bucket", F.window("_time", bucket))
-        .drop("_time")
+        traffic.withColumns({salt: spread_salt(traffic, salts), time: F.col("ts")})
+        .withWatermark(time, delay)
+        .withColumn(opened, F.window(time, bucket))
+        .drop(time)
     )
     same = (
-        (F.col("_bucket") == F.col("w_bucket"))
-        & (F.col("district") == F.col("w_district"))
-        & (F.col("_salt") == F.col("w_salt"))
+        (F.col(opened) == F.col(w_bucket))
+        & (F.col("district") == F.col(w_district))
+        & (F.col(salt) == F.col(w_salt))
     )
     return rows.join(side, same, "left").select(
-        *traffic.columns, *[F.col(f"reading.{c}") for c in readings]
+        *traffic.columns, *[F.col(reading)[c].alias(c) for c in readings]
     )
 
 

@@ -227,6 +227,29 @@ def test_bucket_join_across_spellings(spark, shuffled):
     assert {r[0] for r in joined.select("district").distinct().collect()} == {"quan 1", "quan 2", None}
 
 
+def test_helper_names_leave_columns_of_the_caller_alone(spark):
+    own = ["fill", "repaired", "listed", "tie", "part", "place", "first", "n", "items", "picked_row", "_row"]
+    df = spark.createDataFrame([("a", None, *own), ("b", "Quận 1", *own)], ", ".join(f"{c} string" for c in ["id", "district", *own]))
+    mapping = spark.createDataFrame([("a", "Quận 3", 1)], "id string, district string, priority int")
+    filled = dimensions.fill_missing(df, "district", mapping, "id").orderBy("id")
+    assert list(map(tuple, filled.collect())) == [("a", "Quận 3", *own), ("b", "Quận 1", *own)]
+    repaired = dimensions.repair_by_mapping(df, mapping, "id", "district").orderBy("id")
+    assert list(map(tuple, repaired.collect())) == [("a", "Quận 3", *own), ("b", "Quận 1", *own)]
+    placed = dimensions.numbered(df, ["id"], "number").orderBy("number")
+    assert list(map(tuple, placed.collect())) == [(0, "a", None, *own), (1, "b", "Quận 1", *own)]
+    lists = df.withColumn("lists", F.create_map(F.lit("k"), F.array(F.lit("x"))))
+    assert dimensions.fan_out(lists, "lists", "key", "value").columns == [*df.columns, "key", "value"]
+    assert sorted(map(tuple, latest.latest_per_key(df, ["id"], ["first"]).collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_spellings_leave_a_column_of_the_helper_name_alone(spark):
+    _, _, t, w = traffic_and_weather(spark)
+    t = t.withColumn("district_as_written", F.lit("own"))
+    joined = enrich.join_bucket(t, w, "hour", match_spellings=True)
+    assert joined.columns == [*t.columns, "temp_c"]
+    assert {r[0] for r in joined.select("district_as_written").distinct().collect()} == {"own"}
+
+
 def test_exact_time_join_keeps_the_traffic_columns_once(spark):
     at = dt.datetime(2025, 6, 1, 8)
     t = spark.createDataFrame([("c1", "Quận 1", at), ("c2", "Quận 1", at + dt.timedelta(seconds=1))],

@@ -98,6 +98,18 @@ def test_location_key_of_decomposed_text(spark):
     assert apply(spark, places.location_key, names) == list(LOCATIONS.values())
 
 
+def test_marks_are_those_of_the_decomposition(spark):
+    import unicodedata
+
+    def plain(text):
+        return "".join(c for c in unicodedata.normalize("NFD", text) if unicodedata.category(c) != "Mn")
+
+    single = [c for c in map(chr, [*range(0xD800), *range(0xE000, 0x30000)]) if c.isprintable() and len(plain(c)) < 2]
+    texts = [".".join(single[i:i + 500]) for i in range(0, len(single), 500)] + ["Quận Thủ Đức", "e\u0323\u0302", "\u212b", "", None]
+    assert apply(spark, places.strip_marks, texts) == [t and plain(t) for t in texts]
+    assert apply(spark, places.strip_marks, ["한 Q\u0323"]) == ["한 Q"]
+
+
 def test_location_key_without_last_step(spark):
     def key(c):
         return places.location_key(c, fold_unaccented=False)

@@ -85,11 +85,15 @@ def test_camera_points_need_no_join(spark):
 
 
 PYTHON_QUERIES = {
-    "location_key", "district_join_key", "city_locations", "page_title", "page_links", "page_absolute_url",
-    "anchor_filter", "city_list", "weather_page_properties", "detect_stub", "join_bucket_spellings",
+    "city_locations", "page_absolute_url", "page_title", "page_links", "anchor_filter", "city_list", "weather_page_properties", "detect_stub",
 }
 
 
+def test_spellings_are_joined_in_one_pass_over_each_feed(spark, sf_dir):
+    plan = plan_of(catalog.queries()["join_bucket_spellings"](spark, sf_dir))
+    assert plan.count("FileScan parquet") == 2
+
+
 def returns_what_a_sink_holds(name: str) -> bool:
     return name.startswith(("stream_", "sync_"))
 
