@@ -203,6 +203,18 @@ def buckets_of(signature: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def _hashed(texts: list[str | None]) -> Iterator[tuple[int, list[str], np.ndarray]]:
+    """Place, words and runs of every text; the words of a few texts are held at a time."""
+    group, size = [], 0
+    for i, text in enumerate(texts):
+        group.append((i, normal_words(text)))
+        size += len(group[-1][1])
+        if size > _AT_ONCE or i == len(texts) - 1:
+            runs = shingles_of([ws for _, ws in group])
+            yield from ((at, ws, found) for (at, ws), found in zip(group, runs))
+            group, size = [], 0
+
+
 def sketch_all(texts: list[str | None]) -> tuple[list, list, list, list]:
     """Node, weight, buckets and the signature's lowest bytes of every text."""
     nodes, weights, buckets, short = [], [], [[]] * len(texts), [[]] * len(texts)
@@ -218,8 +230,7 @@ def sketch_all(texts: list[str | None]) -> tuple[list, list, list, list]:
         pending.clear()
         size = 0
 
-    split = [normal_words(text) for text in texts]
-    for i, (ws, hashes) in enumerate(zip(split, shingles_of(split))):
+    for i, ws, hashes in _hashed(texts):
         nodes.append(hashlib.blake2b("\n".join(ws).encode(), digest_size=16).digest() if ws else None)
         weights.append(len(hashes))
         if ws:
